@@ -128,8 +128,10 @@ class Star:
         rows = attach(rows, self.stores[pull], ["ord_touchpoint_key"], salts)
         if pull == "loyal" and self.tables.order_loyalty is not None:
             # Both sides may be huge, so neither is repeated or broadcast: a hot order is split at run
-            # time by the adaptive skew join.
-            rows = rows.join(self._loyal(self.tables.order_loyalty), "ord_event_key", "left_semi")
+            # time by the adaptive skew join. Inner, because a semi join would be moved below the
+            # lookup joins and shuffle the lines they are about to drop.
+            loyal = self._loyal(self.tables.order_loyalty).select("ord_event_key")
+            rows = rows.join(loyal, "ord_event_key")
         if not items.fits:
             if per_order:
                 rows = attach(rows, items, ["trade_item_key"], salts)

@@ -18,8 +18,8 @@ from .sources.tables import Tables
 class BrandReport:
     """Lazily built tables of one run.
 
-    Sales pulls first write the report's items (one row per item, group and launch date) under
-    ``folder``, by default a new one below ``spark.checkpoint.dir``, and read the sizes of the lookups.
+    Sales pulls first write the cleaned list and the report's items (one row per item, group and launch
+    date) under ``folder``, by default a new one below ``spark.checkpoint.dir``, and count the lookups.
     Where ``params.brand_flag`` is set, only the groups of that brand are pulled and reported.
     """
 
@@ -55,9 +55,15 @@ class BrandReport:
     def dated_category(self) -> DataFrame:
         return category.dated_category(self.category, self.lookups["dates"], self.params)
 
+    def upload_list(self) -> "BrandReport":
+        """Write the cleaned list and go on from the written one."""
+        self.__dict__["conv"] = publish(self.conv, f"{self.folder}/conv_upcs_ttl")
+        return self
+
     @cached_property
     def star(self) -> Star:
-        """The order lines ready to be pulled, with the report's items written once."""
+        """The order lines ready to be pulled, with the list and the report's items written once."""
+        self.upload_list()
         items = report_items(self.conv, self.dated_category, self.tables, self.params)
         return plan_star(self.tables, publish(items, f"{self.folder}/items"), self.params)
 

@@ -1,0 +1,172 @@
+"""The sales pulls, case by case on a few lines."""
+
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+
+from brandtrack.operators import pulls
+from brandtrack.sources.publish import publish
+from star_data import calendar_rows, day_key, report, week_end
+
+LAUNCH = date(2001, 1, 5)  # a Friday
+YAGO = LAUNCH - timedelta(days=364)
+OWN = 4119000000
+
+
+def listed(upc, series="Old", grpnum=30, launch=LAUNCH, l3=7, level=3, product="Flour"):
+    return ("Dairy", series, upc, grpnum, "b", product, l3, 70, launch, level)
+
+
+def line(order, item, day, amount, quantity=1, store=1, loyalty="LOYL"):
+    return (order, store, item, day_key(day), Decimal(str(amount)), quantity, loyalty)
+
+
+def star_rows(conv, lines, items=None, hierarchy=()):
+    items = items or sorted({(row[2] - OWN, row[2], 38) for row in conv if row[2] is not None})
+    return {
+        "conv": conv,
+        "fact": lines,
+        "item": items,
+        "hierarchy": list(hierarchy),
+        "touchpoint": [(1, 66, "1"), (2, 301, "2"), (3, 301, "3"), (4, 66, None), (5, 999, "5")],
+        "listed_sites": [("3",), ("3",)],
+        "calendar": calendar_rows(date(1999, 12, 1), date(2001, 7, 31)),
+    }
+
+
+@pytest.fixture
+def pulled(spark, tmp_path):
+    def run(conv, lines, items=None, hierarchy=(), **params):
+        made = report(spark, star_rows(conv, lines, items, hierarchy), tmp_path, **params)
+        loyal = publish(pulls.loyal_weekly(made.star), str(tmp_path / "loyal"))
+        inferred = publish(pulls.inferred_weekly(made.star), str(tmp_path / "inferred"))
+
+        def keyed(df, *names):
+            return {
+                (r.grpnum, *[r[n] for n in names], r.week_end): r.asDict() for r in df.collect()
+            }
+
+        return {
+            "brand": keyed(pulls.loyal_brand_rows(loyal)),
+            "cat": keyed(pulls.loyal_category_rows(loyal)),
+            "post": keyed(pulls.inferred_brand_rows(inferred), "upc_series"),
+            "post_cat": keyed(pulls.inferred_category_rows(inferred)),
+        }
+
+    return run
+
+
+def test_year_ago_starts_on_different_days(pulled):
+    lines = [
+        line(1, 1, YAGO, 10),
+        line(2, 1, YAGO - timedelta(days=1), 100),
+        line(3, 1, YAGO, 10, store=2),
+        line(4, 1, YAGO - timedelta(days=1), 100, store=2),
+        line(5, 1, YAGO - timedelta(days=2), 1000, store=2),
+    ]
+    got = pulled([listed(OWN + 1)], lines)
+    week = week_end(YAGO)
+    assert got["brand"][30, week]["old_sales_ly"] == 10
+    assert got["post"][30, 0, week]["post_sales_pr"] == 110
+
+
+def test_a_line_in_both_windows_counts_in_both(pulled):
+    # launched more than 26 weeks before the stop date
+    launch = date(2000, 12, 1)
+    day = launch - timedelta(days=180)
+    got = pulled([listed(OWN + 1, launch=launch)], [line(1, 1, day, 5)])
+    row = got["brand"][30, week_end(day)]
+    assert (row["old_sales_ly"], row["old_sales_ty"]) == (5, 5)
+
+
+def test_store_without_site_is_left_out_of_the_loyal_banner(pulled):
+    day = date(2001, 3, 3)
+    got = pulled([listed(OWN + 1)], [line(1, 1, day, 5, store=4), line(2, 1, day, 7, store=1)])
+    assert got["brand"][30, day]["old_sales_ty"] == 7
+    # it still makes a week for the inferred banners, with no sales of theirs
+    assert got["post"][30, 0, day]["post_sales_pr"] == 0
+
+
+def test_only_loyalty_orders_count_for_the_loyal_banner(pulled):
+    day = date(2001, 3, 3)
+    lines = [line(1, 1, day, 5, loyalty="NONE"), line(2, 1, day, 7, loyalty=None)]
+    got = pulled([listed(OWN + 1)], lines)
+    assert got["brand"] == {} and got["cat"] == {}
+    assert (30, 0, day) in got["post"]
+
+
+def test_returns_are_netted_by_one_pull_and_ignored_by_the_other(pulled):
+    day = date(2001, 3, 3)
+    lines = [line(1, 1, day, 9, 3), line(2, 1, day, -3, -1)]
+    lines += [line(3, 1, day, 9, 3, store=2), line(4, 1, day, -3, -1, store=2)]
+    lines += [line(5, 1, day, 1, 0, store=2)]
+    got = pulled([listed(OWN + 1)], lines)
+    assert (got["brand"][30, day]["old_sales_ty"], got["brand"][30, day]["old_units_ty"]) == (6, 2)
+    post = got["post"][30, 0, day]
+    assert (post["post_sales_pr"], post["post_units_pr"]) == (9, 3)
+
+
+def test_store_on_the_list_and_in_the_network_counts_for_both(pulled):
+    day = date(2001, 3, 3)
+    got = pulled([listed(OWN + 1)], [line(1, 1, day, 9, store=3), line(2, 1, day, 4, store=2)])
+    post = got["post"][30, 0, day]
+    assert (post["post_sales_pr"], post["post_sales_fg"]) == (13, 9)
+
+
+def test_sales_elsewhere_make_rows_with_zeros(pulled):
+    day = date(2001, 3, 3)
+    got = pulled([listed(OWN + 1, "New")], [line(1, 1, day, 9, store=5)])
+    assert set(got["post"]) == {(30, 1, day)}
+    assert got["post"][30, 1, day]["post_sales_pr"] == 0
+    assert got["post_cat"][30, day]["post_sales_fg"] == 0
+    assert got["brand"] == {}
+
+
+def test_own_brand_item_not_listed_as_new_is_old(pulled):
+    day = date(2001, 3, 3)
+    conv = [listed(OWN + 1, "New"), listed(OWN + 1, "Old", grpnum=31, l3=8), listed(OWN + 2, None)]
+    items = [(1, OWN + 1, 38), (2, OWN + 2, 38), (3, OWN + 3, 38), (4, 5_000_000_001, 38)]
+    items.append((5, OWN + 5, 99))
+    hierarchy = [(1, "70", "7"), (2, "70", "7"), (3, "70", "7"), (4, "70", "7"), (5, "70", "7")]
+    lines = [line(i, i, day, 10**i, store=2) for i in (1, 2, 3, 4, 5)]
+    got = pulled(conv, lines, items, hierarchy)
+    assert got["post"][30, 1, day]["post_sales_pr"] == 10
+    assert got["post"][30, 0, day]["post_sales_pr"] == 100 + 1000
+    assert got["post"][31, 0, day]["post_sales_pr"] == 10
+    assert got["post_cat"][30, day]["post_sales_pr"] == 10 + 100 + 1000 + 10000
+
+
+def test_code_in_two_groups_counts_in_each(pulled):
+    day = date(2001, 3, 3)
+    conv = [listed(OWN + 1, "New", 33), listed(OWN + 1, "New", 34)]
+    got = pulled(conv, [line(1, 1, day, 9)])
+    assert {g: r["new_sales_ty"] for (g, _), r in got["brand"].items()} == {33: 9, 34: 9}
+
+
+def test_code_twice_in_a_category_counts_twice(pulled):
+    day = date(2001, 3, 3)
+    conv = [listed(OWN + 1, "New", level=2, product="Milk")]
+    got = pulled(conv, [line(1, 1, day, 9)], hierarchy=[(1, "70", "7")])
+    assert got["cat"][30, day]["cat_sales_ty"] == 18
+    assert got["brand"][30, day]["new_sales_ty"] == 9
+    assert got["post"][30, 1, day]["post_sales_pr"] == 0
+
+
+def test_series_that_is_neither_old_nor_new_makes_a_row(pulled):
+    day = date(2001, 3, 3)
+    got = pulled([listed(OWN + 1, "Seasonal")], [line(1, 1, day, 9)])
+    assert got["brand"][30, day]["old_sales_ty"] == 0 == got["brand"][30, day]["new_sales_ty"]
+
+
+def test_group_without_a_date_has_no_rows(pulled):
+    day = date(2001, 3, 3)
+    conv = [listed(OWN + 1, launch=None), listed(OWN + 2, grpnum=31)]
+    got = pulled(conv, [line(1, 1, day, 9), line(2, 2, day, 9)])
+    assert set(got["brand"]) == {(31, day)}
+    assert set(got["post_cat"]) == {(31, day)}
+
+
+def test_list_without_any_date_gives_empty_results(pulled):
+    got = pulled([listed(OWN + 1, launch=None)], [line(1, 1, date(2001, 3, 3), 9)])
+    assert not any(got.values())
