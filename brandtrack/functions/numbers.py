@@ -20,13 +20,12 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def weekly_mean(value: Column, in_slice: Column) -> Column:
-    """Mean of ``value`` over the rows of a slice, NULL where the slice is empty.
+    """Mean of the known values in a slice, NULL where there are none.
 
     The sum stays an exact decimal and is divided once: averaging a decimal would round it.
     """
-    return F.try_divide(
-        F.sum(F.when(in_slice, value)).cast("double"), F.count(F.when(in_slice, F.lit(1)))
-    )
+    chosen = F.when(in_slice, value)
+    return F.try_divide(F.sum(chosen).cast("double"), F.count(chosen))
 
 
 def money_text(value: Column) -> Column:

@@ -46,8 +46,15 @@ def _category_codes(conv: DataFrame, branches: Iterable[str]) -> DataFrame:
 def list_lookups(
     conv: DataFrame, params: ReportParams, branches: Iterable[str] = BRANCHES
 ) -> dict[str, Lookup]:
-    """The list's distinct category codes and launch dates, counted in one job."""
+    """The list's distinct category codes and launch dates, as lookups of known size.
+
+    A list row asks for two categories at most, so a short list settles the size; only for a long one
+    the distinct rows themselves are counted.
+    """
     codes, dates = _category_codes(conv, branches), group_dates(conv)
+    at_most = 2 * count_rows(params.broadcast_rows, listed=conv)["listed"].rows
+    if at_most <= params.broadcast_rows:
+        return {"codes": Lookup(codes, at_most, True), "dates": Lookup(dates, at_most, True)}
     return count_rows(params.broadcast_rows, codes=codes, dates=dates)
 
 

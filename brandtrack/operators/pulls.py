@@ -12,8 +12,11 @@ from .star import Star, in_this_year, in_year_ago
 MEASURES = (("sales", "purch_amt"), ("units", "purch_qty"))
 
 
-def _sum_where(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(0))
+def _sum_copies(counted: Column, condition: Column, value: Column, copies: Column) -> Column:
+    """Sum over the lines that are ``counted`` at all: the value as often as its copies say where the
+    condition holds, else 0. Without any such line, or with unknown values only, it is NULL."""
+    met = F.when(condition & (copies > 0), value * copies).otherwise(0)
+    return F.sum(F.when(counted > 0, met))
 
 
 def _as_reported(name: str, total: Column) -> Column:
@@ -24,17 +27,23 @@ def _as_reported(name: str, total: Column) -> Column:
 # --- the banner whose old brand is listed ---------------------------------------------------------
 
 
-def _loyal_sums(copies_of: dict[str, Column], last_year, this_year) -> list[Column]:
-    """Conditional sums per window, each line counted as often as its brand's copies say."""
+LOYAL_BRAND = {"old": ("listed", "old"), "new": ("listed", "new")}
+LOYAL_CATEGORY = {"cat": ("category", "category")}
+
+
+def _loyal_sums(
+    brands: dict[str, tuple[str, str]], last_year: Column, this_year: Column
+) -> list[Column]:
+    """Sums per brand and window. ``brands`` names what makes a line count and its copies."""
     sums = []
     for measure, column in MEASURES:
-        for brand, copies in copies_of.items():
-            value = F.col(column) * copies
+        for brand, (counted, copies) in brands.items():
             for window, suffix in ((last_year, "ly"), (this_year, "ty")):
                 if brand == "new" and suffix == "ly":
                     continue
                 name = f"{brand}_{measure}_{suffix}"
-                sums.append(_as_reported(name, _sum_where(window, value)))
+                of = F.col(counted), window, F.col(column), F.col(copies)
+                sums.append(_as_reported(name, _sum_copies(*of)))
     return sums
 
 
@@ -56,7 +65,7 @@ def loyal_weekly(star: Star) -> DataFrame:
         )
         .agg(F.sum("purch_amt").alias("purch_amt"), F.sum("purch_qty").alias("purch_qty"))
     )
-    brands = {"old": F.col("old"), "new": F.col("new"), "cat": F.col("category")}
+    brands = LOYAL_BRAND | LOYAL_CATEGORY
     return slices.groupBy("grpnum", "week_end").agg(
         (F.max("listed") > 0).alias("has_brand"),
         (F.max("category") > 0).alias("has_cat"),
@@ -81,8 +90,8 @@ def loyal_banner_weekly(star: Star) -> tuple[DataFrame, DataFrame]:
     return loyal_category_rows(weekly), loyal_brand_rows(weekly)
 
 
-def _loyal_orders(star: Star, present: str, brands: dict[str, Column]) -> DataFrame:
-    lines = star.lines("loyal", per_order=True).filter(F.col(present) > 0)
+def _loyal_orders(star: Star, counted: str, brands: dict[str, tuple[str, str]]) -> DataFrame:
+    lines = star.lines("loyal", per_order=True).filter(F.col(counted) > 0)
     return lines.groupBy("grpnum", "ord_event_key", "upc", "week_end").agg(
         *_loyal_sums(brands, in_year_ago(star.params), in_this_year())
     )
@@ -90,12 +99,12 @@ def _loyal_orders(star: Star, present: str, brands: dict[str, Column]) -> DataFr
 
 def loyal_brand_orders(star: Star) -> DataFrame:
     """Brand sums by group, order, code and week. As large as the matched lines: a detail table."""
-    return _loyal_orders(star, "listed", {"old": F.col("old"), "new": F.col("new")})
+    return _loyal_orders(star, "listed", LOYAL_BRAND)
 
 
 def loyal_category_orders(star: Star) -> DataFrame:
     """Category sums by group, order, code and week."""
-    return _loyal_orders(star, "category", {"cat": F.col("category")})
+    return _loyal_orders(star, "category", LOYAL_CATEGORY)
 
 
 # --- the two banners whose old brand is inferred --------------------------------------------------
@@ -107,7 +116,7 @@ def _post_sums(copies: Column, prefix: str = "post") -> list[Column]:
     """Sums per measure and banner. A store may count for both banners, and for neither."""
     return [
         _as_reported(
-            f"{prefix}_{measure}_{banner}", _sum_where(F.col(flag), F.col(column) * copies)
+            f"{prefix}_{measure}_{banner}", _sum_copies(copies, F.col(flag), F.col(column), copies)
         )
         for measure, column in MEASURES
         for banner, flag in BANNER_FLAGS

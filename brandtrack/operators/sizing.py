@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Lookup:
-    """A join side whose rows have been counted."""
+    """A join side that is known to have at most ``rows`` rows."""
 
     frame: DataFrame
     rows: int

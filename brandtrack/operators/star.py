@@ -173,7 +173,7 @@ def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
         "high": F.max(key).cast("string"),
     }
     in_period = tables.calendar.filter(day.between(earliest.scalar(), stop))
-    sizes = measure(items=(items, {}), stores=(stores, {}), days=(in_period, span))
+    sizes = measure(items=(items, {}), stores=(tables.touchpoint, {}), days=(in_period, span))
 
     days = tables.calendar.filter(day.between(F.lit(sizes["days"]["first"]).cast("date"), stop))
     days = days.select(

@@ -40,6 +40,10 @@ def _week(banner: str, measures: dict[str, str | Column], **present: str) -> Col
     return F.struct(F.lit(banner).alias("banner"), *columns)
 
 
+def _sum_of(*values: Column) -> Column:
+    return reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0)) for v in values])
+
+
 def banner_weeks(loyal: DataFrame, inferred: DataFrame) -> DataFrame:
     """One row per group, banner and week, with the same columns for every banner.
 
@@ -69,7 +73,7 @@ def banner_weeks(loyal: DataFrame, inferred: DataFrame) -> DataFrame:
                 f"new_{m}": f"new_{m}_{b}",
                 f"old_{m}": f"old_{m}_{b}",
                 f"cat_{m}": f"cat_{m}_{b}",
-                f"yago_brand_{m}": F.col(f"new_{m}_{b}") + F.col(f"old_{m}_{b}"),
+                f"yago_brand_{m}": _sum_of(F.col(f"new_{m}_{b}"), F.col(f"old_{m}_{b}")),
                 f"yago_old_{m}": f"old_{m}_{b}",
                 f"yago_cat_{m}": f"cat_{m}_{b}",
             }
@@ -173,10 +177,6 @@ def rated(parts: DataFrame) -> DataFrame:
     )
 
 
-def _sum_of(*values: Column) -> Column:
-    return reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0)) for v in values])
-
-
 def banner_metrics(rated_rows: DataFrame) -> DataFrame:
     """Shares, share change and weekly means: one row per group and banner."""
     change = F.col("new_sales_share") - F.col("old_sales_share_yago")

@@ -1,8 +1,8 @@
 """Whole pulls and metrics on random stars against the check SQL, over both kinds of join.
 
 The stars hold what the sample tables lack: repeated list rows, several launch dates in a group, codes
-shared by items, stores without a site, series that are neither old nor new, and one store, item and
-order that hold a third of all lines each.
+shared by items, stores without a site, series that are neither old nor new, lines without an amount,
+and one store, item and order that hold a third of all lines each.
 """
 
 import random
@@ -62,7 +62,7 @@ def random_star(seed: int) -> dict:
                 hot_store if rng.random() < 0.33 else rng.randrange(12),
                 hot_item if rng.random() < 0.33 else rng.randrange(60),
                 day_key(first + timedelta(days=rng.randrange(span + 1))),
-                Decimal(rng.randrange(-500, 100000)) / 100,
+                rng.choice([None, *[Decimal(rng.randrange(-500, 100000)) / 100] * 9]),
                 quantity,
                 ("NONE", "LOYL", "LOYL", None)[order % 4],
             )
