@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import to_code
@@ -32,11 +32,16 @@ def clean_list(raw: DataFrame, min_group: int) -> DataFrame:
 
 
 def scope_list(
-    conv: DataFrame, without_groups: Sequence[int] = (), product_contains: str | None = None
+    conv: DataFrame,
+    without_groups: Sequence[int] = (),
+    product_contains: str | None = None,
+    max_group: int | None = None,
 ) -> DataFrame:
-    """The list without some groups, or for products whose name contains a text."""
+    """The list without some groups, for products whose name contains a text, or up to a group."""
     if without_groups:
         conv = conv.filter(~F.col("grpnum").isin(list(without_groups)))
+    if max_group is not None:
+        conv = conv.filter(F.col("grpnum") <= max_group)
     if product_contains is not None:
         conv = conv.filter(F.col("productname").contains(product_contains))
     return conv
@@ -62,6 +67,21 @@ def report_groups(conv: DataFrame, brand_flag: str | None) -> DataFrame:
     return conv.groupBy("grpnum").agg(F.min("division").alias("division"))
 
 
+def report_groups_by_brand(conv: DataFrame) -> DataFrame:
+    """The groups of all brands: by brand, division and group, each where it comes first."""
+    first = F.min(F.struct(_last_if_null("brand"), _last_if_null("division"))).alias("first")
+    places = conv.groupBy("grpnum").agg(first).select("grpnum", "first.*")
+    order = [F.col(c).asc_nulls_last() for c in ("brand", "division")]
+    shown = [F.col(f"{c}.value").alias(c) for c in ("brand", "division")]
+    return places.select("grpnum", *shown).orderBy(*order, "grpnum")
+
+
+def _last_if_null(name: str) -> Column:
+    """A column as a struct that sorts unknown values last."""
+    value = F.col(name)
+    return F.struct(value.isNull().alias("unknown"), value.alias("value")).alias(name)
+
+
 def in_report_order(df: DataFrame, *more: str) -> DataFrame:
     """Rows by division (unknown last), then group number."""
     return df.orderBy(F.col("division").asc_nulls_last(), "grpnum", *more)

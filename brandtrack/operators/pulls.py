@@ -12,39 +12,45 @@ from .star import Star, in_this_year, in_year_ago
 MEASURES = (("sales", "purch_amt"), ("units", "purch_qty"))
 
 
-def _sum_copies(counted: Column, condition: Column, value: Column, copies: Column) -> Column:
+def _sum_copies(name: str, counted: str, condition: str, value: str, copies: str) -> Column:
     """Sum over the lines that are ``counted`` at all: the value as often as its copies say where the
-    condition holds, else 0. Without any such line, or with unknown values only, it is NULL."""
-    met = F.when(condition & (copies > 0), value * copies).otherwise(0)
-    return F.sum(F.when(counted > 0, met))
+    condition holds, else 0. Without any such line, or with unknown values only, it is NULL.
+
+    Money keeps its cents exactly; units are whole.
+    """
+    met = f"CASE WHEN {condition} AND {copies} > 0 THEN {value} * {copies} ELSE 0 END"
+    kind = "decimal(38,2)" if value == "purch_amt" else "bigint"
+    total = f"CAST(sum(CASE WHEN {counted} > 0 THEN {met} END) AS {kind})"
+    return F.expr(total).alias(name)
 
 
-def _as_reported(name: str, total: Column) -> Column:
-    """Money keeps its cents exactly; units are whole."""
-    return total.cast("decimal(38,2)" if "sales" in name else "bigint").alias(name)
+def _summed(lines: DataFrame, *keys: str) -> DataFrame:
+    """Lines summed per slice: two running sums, whatever is computed from them later."""
+    return lines.groupBy(*keys).agg(
+        F.sum("purch_amt").alias("purch_amt"), F.sum("purch_qty").alias("purch_qty")
+    )
 
 
 # --- the banner whose old brand is listed ---------------------------------------------------------
 
+# Each brand: what makes a line count, its copies, and the windows it is summed over.
+LOYAL_BRAND = {"old": ("listed", "old", ("ly", "ty")), "new": ("listed", "new", ("ty",))}
+LOYAL_CATEGORY = {"cat": ("category", "category", ("ly", "ty"))}
+WINDOWS = {"ly": "year_ago", "ty": "this_year"}
 
-LOYAL_BRAND = {"old": ("listed", "old"), "new": ("listed", "new")}
-LOYAL_CATEGORY = {"cat": ("category", "category")}
 
+def _loyal_lines(star: Star, per_order: bool = False) -> DataFrame:
+    windows = {"year_ago": in_year_ago(star.params), "this_year": in_this_year()}
+    return star.lines("loyal", per_order).withColumns(windows)
 
-def _loyal_sums(
-    brands: dict[str, tuple[str, str]], last_year: Column, this_year: Column
-) -> list[Column]:
-    """Sums per brand and window. ``brands`` names what makes a line count and its copies."""
-    sums = []
-    for measure, column in MEASURES:
-        for brand, (counted, copies) in brands.items():
-            for window, suffix in ((last_year, "ly"), (this_year, "ty")):
-                if brand == "new" and suffix == "ly":
-                    continue
-                name = f"{brand}_{measure}_{suffix}"
-                of = F.col(counted), window, F.col(column), F.col(copies)
-                sums.append(_as_reported(name, _sum_copies(*of)))
-    return sums
+
+def _loyal_sums(brands: dict[str, tuple[str, str, tuple[str, ...]]]) -> list[Column]:
+    return [
+        _sum_copies(f"{brand}_{measure}_{w}", counted, WINDOWS[w], value, copies)
+        for measure, value in MEASURES
+        for brand, (counted, copies, windows) in brands.items()
+        for w in windows
+    ]
 
 
 def loyal_weekly(star: Star) -> DataFrame:
@@ -53,23 +59,16 @@ def loyal_weekly(star: Star) -> DataFrame:
     ``has_brand`` and ``has_cat`` tell whether the week has a listed or a categorised line at all, even
     if its sums are 0: means divide by the number of such weeks.
     """
-    copies = ["listed", "old", "new", "category"]
-    slices = (
-        star.lines("loyal")
-        .groupBy(
-            "grpnum",
-            "week_end",
-            in_year_ago(star.params).alias("year_ago"),
-            in_this_year().alias("this_year"),
-            *copies,
+    copies = ("listed", "old", "new", "category")
+    keys = ("grpnum", "week_end", "year_ago", "this_year", *copies)
+    return (
+        _summed(_loyal_lines(star), *keys)
+        .groupBy("grpnum", "week_end")
+        .agg(
+            F.expr("max(listed) > 0").alias("has_brand"),
+            F.expr("max(category) > 0").alias("has_cat"),
+            *_loyal_sums(LOYAL_BRAND | LOYAL_CATEGORY),
         )
-        .agg(F.sum("purch_amt").alias("purch_amt"), F.sum("purch_qty").alias("purch_qty"))
-    )
-    brands = LOYAL_BRAND | LOYAL_CATEGORY
-    return slices.groupBy("grpnum", "week_end").agg(
-        (F.max("listed") > 0).alias("has_brand"),
-        (F.max("category") > 0).alias("has_cat"),
-        *_loyal_sums(brands, F.col("year_ago"), F.col("this_year")),
     )
 
 
@@ -90,11 +89,10 @@ def loyal_banner_weekly(star: Star) -> tuple[DataFrame, DataFrame]:
     return loyal_category_rows(weekly), loyal_brand_rows(weekly)
 
 
-def _loyal_orders(star: Star, counted: str, brands: dict[str, tuple[str, str]]) -> DataFrame:
-    lines = star.lines("loyal", per_order=True).filter(F.col(counted) > 0)
-    return lines.groupBy("grpnum", "ord_event_key", "upc", "week_end").agg(
-        *_loyal_sums(brands, in_year_ago(star.params), in_this_year())
-    )
+def _loyal_orders(star: Star, counted: str, brands: dict) -> DataFrame:
+    lines = _loyal_lines(star, per_order=True).filter(f"{counted} > 0")
+    keys = ("grpnum", "ord_event_key", "upc", "week_end")
+    return lines.groupBy(*keys).agg(*_loyal_sums(brands))
 
 
 def loyal_brand_orders(star: Star) -> DataFrame:
@@ -112,13 +110,11 @@ def loyal_category_orders(star: Star) -> DataFrame:
 BANNER_FLAGS = (("pr", "is_inferred"), ("fg", "is_listed"))
 
 
-def _post_sums(copies: Column, prefix: str = "post") -> list[Column]:
+def _post_sums(copies: str, prefix: str = "post") -> list[Column]:
     """Sums per measure and banner. A store may count for both banners, and for neither."""
     return [
-        _as_reported(
-            f"{prefix}_{measure}_{banner}", _sum_copies(copies, F.col(flag), F.col(column), copies)
-        )
-        for measure, column in MEASURES
+        _sum_copies(f"{prefix}_{measure}_{banner}", copies, flag, value, copies)
+        for measure, value in MEASURES
         for banner, flag in BANNER_FLAGS
     ]
 
@@ -128,38 +124,35 @@ def inferred_weekly(star: Star) -> DataFrame:
 
     ``has_new`` and ``has_old`` tell whether any store, of whatever banner, sold such an item.
     """
-    copies = ["category", "new", "old"]
-    slices = (
-        star.lines("inferred")
-        .groupBy("grpnum", "week_end", "is_inferred", "is_listed", *copies)
-        .agg(F.sum("purch_amt").alias("purch_amt"), F.sum("purch_qty").alias("purch_qty"))
-    )
-    per_line = F.col("category")
-    return slices.groupBy("grpnum", "week_end").agg(
-        (F.max("new") > 0).alias("has_new"),
-        (F.max("old") > 0).alias("has_old"),
-        *_post_sums(per_line * F.col("new"), "new"),
-        *_post_sums(per_line * F.col("old"), "old"),
-        *_post_sums(per_line, "cat"),
+    keys = ("grpnum", "week_end", "is_inferred", "is_listed", "category", "new", "old")
+    return (
+        _summed(star.lines("inferred"), *keys)
+        .groupBy("grpnum", "week_end")
+        .agg(
+            F.expr("max(new) > 0").alias("has_new"),
+            F.expr("max(old) > 0").alias("has_old"),
+            *_post_sums("(category * new)", "new"),
+            *_post_sums("(category * old)", "old"),
+            *_post_sums("category", "cat"),
+        )
     )
 
 
-def _renamed(brand: str) -> list[Column]:
+def _post_columns(brand: str) -> str:
     names = [f"{measure}_{banner}" for measure, _ in MEASURES for banner, _ in BANNER_FLAGS]
-    return [F.col(f"{brand}_{name}").alias(f"post_{name}") for name in names]
+    return ", ".join(f"{brand}_{name} AS post_{name}" for name in names)
 
 
 def inferred_brand_rows(weekly: DataFrame) -> DataFrame:
     """Brand rows by group, series (1 new, 0 old) and week."""
-    series = F.array(
-        F.struct(F.lit(1).alias("upc_series"), F.col("has_new").alias("has"), *_renamed("new")),
-        F.struct(F.lit(0).alias("upc_series"), F.col("has_old").alias("has"), *_renamed("old")),
-    )
-    return weekly.select("grpnum", "week_end", F.inline(series)).filter("has").drop("has")
+    new = f"struct(1 AS upc_series, has_new AS has, {_post_columns('new')})"
+    old = f"struct(0 AS upc_series, has_old AS has, {_post_columns('old')})"
+    rows = weekly.select("grpnum", "week_end", F.expr(f"inline(array({new}, {old}))"))
+    return rows.filter("has").drop("has")
 
 
 def inferred_category_rows(weekly: DataFrame) -> DataFrame:
-    return weekly.select("grpnum", "week_end", *_renamed("cat"))
+    return weekly.selectExpr("grpnum", "week_end", *_post_columns("cat").split(", "))
 
 
 def inferred_brand_weekly(star: Star) -> tuple[DataFrame, DataFrame]:
@@ -172,9 +165,8 @@ def inferred_brand_orders(star: Star) -> DataFrame:
     """Own-brand sums by order, code, week and group, before any series is told apart."""
     lines = star.lines("inferred", per_order=True)
     own = lines.filter(F.col("upc").between(*star.params.own_codes))
-    return own.groupBy("ord_event_key", "upc", "week_end", "grpnum").agg(
-        *_post_sums(F.col("category"))
-    )
+    keys = ("ord_event_key", "upc", "week_end", "grpnum")
+    return own.groupBy(*keys).agg(*_post_sums("category"))
 
 
 def tag_series(orders: DataFrame, conv: DataFrame, params: ReportParams) -> DataFrame:
@@ -194,6 +186,4 @@ def tag_series(orders: DataFrame, conv: DataFrame, params: ReportParams) -> Data
 def inferred_category_orders(star: Star) -> DataFrame:
     """Category sums by order, week and group."""
     lines = star.lines("inferred", per_order=True)
-    return lines.groupBy("ord_event_key", "week_end", "grpnum").agg(
-        *_post_sums(F.col("category"))
-    )
+    return lines.groupBy("ord_event_key", "week_end", "grpnum").agg(*_post_sums("category"))

@@ -31,28 +31,23 @@ KEY_METRICS = (
 NEW_OLD_SHARES = ("new_old_sales_share", "new_old_units_share")
 
 
-def _week(banner: str, measures: dict[str, str | Column], **present: str) -> Column:
-    columns = [F.col(flag).alias(name) for name, flag in present.items()]
-    for name, value in measures.items():
-        value = F.col(value) if isinstance(value, str) else value
-        kind = "bigint" if "units" in name else "decimal(38,2)"
-        columns.append(value.cast(kind).alias(name))
-    return F.struct(F.lit(banner).alias("banner"), *columns)
-
-
 def _sum_of(*values: Column) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0)) for v in values])
 
 
-def banner_weeks(loyal: DataFrame, inferred: DataFrame) -> DataFrame:
-    """One row per group, banner and week, with the same columns for every banner.
+def _week(banner: str, present: dict[str, str], measures: dict[str, str]) -> str:
+    """One banner's week as a struct expression."""
+    columns = [f"{flag} AS {name}" for name, flag in present.items()]
+    for name, value in measures.items():
+        kind = "bigint" if "units" in name else "decimal(38,2)"
+        columns.append(f"CAST({value} AS {kind}) AS {name}")
+    return f"struct('{banner}' AS banner, {', '.join(columns)})"
 
-    ``yago_brand_*`` is what counts as the brand a year ago: the listed old codes, or for the inferred
-    banners every own-brand item. ``yago_old_*`` is the old series alone.
-    """
-    loyal_measures: dict[str, str | Column] = {}
+
+def _loyal_week() -> str:
+    measures = {}
     for m in MEASURES:
-        loyal_measures |= {
+        measures |= {
             f"new_{m}": f"new_{m}_ty",
             f"old_{m}": f"old_{m}_ty",
             f"cat_{m}": f"cat_{m}_ty",
@@ -61,26 +56,35 @@ def banner_weeks(loyal: DataFrame, inferred: DataFrame) -> DataFrame:
             f"yago_cat_{m}": f"cat_{m}_ly",
         }
     present = {"has_new": "has_brand", "has_old": "has_brand", "has_cat": "has_cat"}
-    rows = [_week("SR", loyal_measures, **present)]
-    loyal_rows = loyal.select("grpnum", "week_end", F.inline(F.array(*rows)))
-
-    rows = []
-    for banner in ("PR", "FG"):
-        b = banner.lower()
-        measures: dict[str, str | Column] = {}
-        for m in MEASURES:
-            measures |= {
-                f"new_{m}": f"new_{m}_{b}",
-                f"old_{m}": f"old_{m}_{b}",
-                f"cat_{m}": f"cat_{m}_{b}",
-                f"yago_brand_{m}": _sum_of(F.col(f"new_{m}_{b}"), F.col(f"old_{m}_{b}")),
-                f"yago_old_{m}": f"old_{m}_{b}",
-                f"yago_cat_{m}": f"cat_{m}_{b}",
-            }
-        rows.append(_week(banner, measures, has_new="has_new", has_old="has_old", has_cat="has_cat"))
-    always = inferred.withColumn("has_cat", F.lit(True))
-    inferred_rows = always.select("grpnum", "week_end", F.inline(F.array(*rows)))
-    return loyal_rows.unionByName(inferred_rows)
+    return _week("SR", present, measures)
+
+
+def _inferred_week(banner: str) -> str:
+    b = banner.lower()
+    measures = {}
+    for m in MEASURES:
+        measures |= {
+            f"new_{m}": f"new_{m}_{b}",
+            f"old_{m}": f"old_{m}_{b}",
+            f"cat_{m}": f"cat_{m}_{b}",
+            f"yago_brand_{m}": f"coalesce(new_{m}_{b}, 0) + coalesce(old_{m}_{b}, 0)",
+            f"yago_old_{m}": f"old_{m}_{b}",
+            f"yago_cat_{m}": f"cat_{m}_{b}",
+        }
+    return _week(banner, {"has_new": "has_new", "has_old": "has_old", "has_cat": "true"}, measures)
+
+
+def banner_weeks(loyal: DataFrame, inferred: DataFrame) -> DataFrame:
+    """One row per group, banner and week, with the same columns for every banner.
+
+    ``yago_brand_*`` is what counts as the brand a year ago: the listed old codes, or for the inferred
+    banners every own-brand item. ``yago_old_*`` is the old series alone.
+    """
+    loyal_rows = f"inline(array({_loyal_week()}))"
+    inferred_rows = f"inline(array({_inferred_week('PR')}, {_inferred_week('FG')}))"
+    return loyal.selectExpr("grpnum", "week_end", loyal_rows).unionByName(
+        inferred.selectExpr("grpnum", "week_end", inferred_rows)
+    )
 
 
 def with_banners(groups: DataFrame) -> DataFrame:
@@ -105,33 +109,36 @@ def metric_parts(weeks: DataFrame, header: DataFrame, params: ReportParams) -> D
     sliced = weeks.join(launches, "grpnum").withColumns(slices)
     year_ago, since_launch = F.col("year_ago"), F.col("since_launch")
 
-    def total(value: str, where: Column, name: str) -> Column:
-        return F.sum(F.when(where, F.col(value))).alias(name)
+    def total(value: str, where: str, name: str) -> Column:
+        return F.expr(f"sum(CASE WHEN {where} THEN {value} END)").alias(name)
 
-    def last(value: str, where: Column, name: str) -> Column:
-        return F.max_by(F.when(where, F.col(value)), F.when(where, week)).alias(name)
+    def last(value: str, where: str, name: str) -> Column:
+        chosen = (f"CASE WHEN {where} THEN {c} END" for c in (value, "week_end"))
+        return F.expr(f"max_by({', '.join(chosen)})").alias(name)
 
     parts = []
     for m in MEASURES:
         parts += [
-            total(f"new_{m}", since_launch, f"new_{m}"),
-            total(f"old_{m}", since_launch, f"old_{m}"),
-            total(f"cat_{m}", since_launch, f"cat_{m}"),
-            total(f"yago_brand_{m}", year_ago, f"yago_brand_{m}"),
-            total(f"yago_cat_{m}", year_ago, f"yago_cat_{m}"),
+            total(f"new_{m}", "since_launch", f"new_{m}"),
+            total(f"old_{m}", "since_launch", f"old_{m}"),
+            total(f"cat_{m}", "since_launch", f"cat_{m}"),
+            total(f"yago_brand_{m}", "year_ago", f"yago_brand_{m}"),
+            total(f"yago_cat_{m}", "year_ago", f"yago_cat_{m}"),
         ]
-    has_new, has_old, has_cat = F.col("has_new"), F.col("has_old"), F.col("has_cat")
     means = {
-        "avg_old_sales": weekly_mean(F.col("old_sales"), F.col("before_launch") & has_old),
-        "avg_new_sales": weekly_mean(F.col("new_sales"), since_launch & has_new),
-        "avg_cat_sales": weekly_mean(F.col("cat_sales"), F.col("whole") & has_cat),
+        "avg_old_sales": ("old_sales", "before_launch AND has_old"),
+        "avg_new_sales": ("new_sales", "since_launch AND has_new"),
+        "avg_cat_sales": ("cat_sales", "whole AND has_cat"),
     }
-    parts += [mean.alias(name) for name, mean in means.items()]
     parts += [
-        last("new_sales", since_launch & has_new, "last_new_sales"),
-        last("cat_sales", F.col("whole") & has_cat, "last_cat_sales"),
-        last("yago_old_sales", year_ago & has_old, "last_yago_old_sales"),
-        last("yago_cat_sales", year_ago & has_cat, "last_yago_cat_sales"),
+        weekly_mean(F.col(value), F.expr(where)).alias(name)
+        for name, (value, where) in means.items()
+    ]
+    parts += [
+        last("new_sales", "since_launch AND has_new", "last_new_sales"),
+        last("cat_sales", "whole AND has_cat", "last_cat_sales"),
+        last("yago_old_sales", "year_ago AND has_old", "last_yago_old_sales"),
+        last("yago_cat_sales", "year_ago AND has_cat", "last_yago_cat_sales"),
     ]
     keys = ["grpnum", "banner"]
     groups = with_banners(header.select("grpnum", "division"))

@@ -67,6 +67,14 @@ class BrandReport:
         items = report_items(self.conv, self.dated_category, self.tables, self.params)
         return plan_star(self.tables, publish(items, f"{self.folder}/items"), self.params)
 
+    def loyal_banner_weekly(self) -> tuple[DataFrame, DataFrame]:
+        """Category and brand sums by group and week for the banner with listed codes."""
+        return pulls.loyal_banner_weekly(self.star)
+
+    def inferred_brand_weekly(self) -> tuple[DataFrame, DataFrame]:
+        """Category and brand sums by group and week for the banners with inferred codes."""
+        return pulls.inferred_brand_weekly(self.star)
+
     @cached_property
     def weeks(self) -> DataFrame:
         """One row per group, banner and week. Everything below is computed from it."""

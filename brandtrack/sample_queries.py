@@ -65,7 +65,7 @@ def queries() -> dict[str, Query]:
         # the conversion list
         "conv_row_count": _query(lambda r: listed_rows(r.raw_list)),
         "conv_clean": _query(lambda r: r.conv),
-        "conv_scope_filters": _query(lambda r: conv.scope_list(r.conv, [30, 33], "ou")),
+        "conv_scope_filters": _query(lambda r: conv.scope_list(r.conv, [30, 33], "ou", 33)),
         "conv_products": _query(lambda r: conv.products(r.conv)),
         "group_dates": _query(lambda r: conv.group_dates(r.conv)),
         "group_header": _query(lambda r: r.header),
@@ -73,6 +73,7 @@ def queries() -> dict[str, Query]:
             lambda r: conv.in_report_order(conv.report_groups(r.conv, r.params.brand_flag)),
             brand_flag="b",
         ),
+        "report_groups_by_brand": _query(lambda r: conv.report_groups_by_brand(r.conv)),
         "nonstandard_upcs": _query(lambda r: conv.nonstandard_upcs(r.conv, r.params)),
         "dq_group_attributes": _query(lambda r: conv.group_attributes(r.conv)),
         # the categories
@@ -89,23 +90,13 @@ def queries() -> dict[str, Query]:
         # the sales pulls
         "sr_upc_order_week": _query(lambda r: pulls.loyal_brand_orders(r.star)),
         "sr_cat_order_week": _query(lambda r: pulls.loyal_category_orders(r.star)),
-        "sr_upc_week": _query(
-            lambda r: pulls.loyal_brand_rows(pulls.loyal_weekly(r.star))
-        ),
-        "sr_cat_week": _query(
-            lambda r: pulls.loyal_category_rows(pulls.loyal_weekly(r.star))
-        ),
+        "sr_upc_week": _query(lambda r: r.loyal_banner_weekly()[1]),
+        "sr_cat_week": _query(lambda r: r.loyal_banner_weekly()[0]),
         "prfg_upc_order_week": _query(lambda r: pulls.inferred_brand_orders(r.star)),
         "prfg_upc_series": _query(_tagged),
-        "prfg_upc_week": _query(
-            lambda r: pulls.inferred_brand_rows(pulls.inferred_weekly(r.star))
-        ),
-        "prfg_cat_order_week": _query(
-            lambda r: pulls.inferred_category_orders(r.star)
-        ),
-        "prfg_cat_week": _query(
-            lambda r: pulls.inferred_category_rows(pulls.inferred_weekly(r.star))
-        ),
+        "prfg_upc_week": _query(lambda r: r.inferred_brand_weekly()[1]),
+        "prfg_cat_order_week": _query(lambda r: pulls.inferred_category_orders(r.star)),
+        "prfg_cat_week": _query(lambda r: r.inferred_brand_weekly()[0]),
         # weeks, metrics and the report
         "week_end_dates": _query(_week_ends),
         "week_spine": _query(lambda r: trend.week_spine(r.header)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from datetime import date, timedelta
 
 import duckdb
@@ -106,3 +108,9 @@ def sorted_rows(rows, columns):
 
 def spark_rows(df):
     return sorted_rows([tuple(r) for r in df.collect()], df.columns)
+
+
+def plan_of(df) -> str:
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    return out.getvalue()

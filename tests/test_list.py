@@ -81,11 +81,19 @@ def test_scopes_and_views(conv):
 
     assert groups(conversion.scope_list(conv, without_groups=[30, 31])) == [29, 32]
     assert groups(conversion.scope_list(conv, product_contains="our")) == [30]
+    assert groups(conversion.scope_list(conv, max_group=30)) == [29, 30]
     assert groups(conversion.scope_list(conv)) == [29, 30, 31, 32]
     assert [r.upc for r in conversion.nonstandard_upcs(conv, PARAMS).collect()] == [999]
     ordered = conversion.in_report_order(conversion.report_groups(conv, "b"))
     assert [r.grpnum for r in ordered.collect()] == [31, 30, 29]
     assert conversion.report_groups(conv, None).count() == 4
+    by_brand = [tuple(r) for r in conversion.report_groups_by_brand(conv).collect()]
+    assert by_brand == [
+        (31, "b", "Dairy"),
+        (30, "b", "Grocery"),
+        (29, "b", None),
+        (32, "p", "Dairy"),
+    ]
 
 
 def test_header(conv):

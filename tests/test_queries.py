@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry_point
 from brandtrack.operators import pulls
 from brandtrack.sample_queries import queries, sample_report
-from star_data import sorted_rows, spark_rows
+from star_data import plan_of, sorted_rows, spark_rows
 
 ROOT = "/root/testdata"
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -32,6 +32,9 @@ def test_query_matches_check_sql(spark, con, name):
     kinds = dict(zip(expected.columns, map(str, expected.types)))
     assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == kinds
     assert spark_rows(df) == sorted_rows(expected.fetchall(), expected.columns)
+    plan = plan_of(df)
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert word not in plan
 
 
 def test_entry(spark):
