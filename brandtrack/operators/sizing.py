@@ -35,7 +35,8 @@ def measure(**frames: tuple[DataFrame, dict[str, Column]]) -> dict[str, Row]:
 def count_rows(limit: int, **frames: DataFrame) -> dict[str, Lookup]:
     """The frames as lookups of known size."""
     sizes = measure(**{name: (df, {}) for name, df in frames.items()})
-    return {name: Lookup(df, sizes[name]["n"], sizes[name]["n"] <= limit) for name, df in frames.items()}
+    rows = {name: sizes[name]["n"] for name in frames}
+    return {name: Lookup(df, rows[name], rows[name] <= limit) for name, df in frames.items()}
 
 
 def attach(

@@ -61,8 +61,8 @@ def report_items(
         "grpnum",
         "convdate",
         F.lit(1).alias("listed"),
-        F.when(series == "Old", 1).otherwise(0).alias("old"),
-        F.when(series == "New", 1).otherwise(0).alias("new"),
+        _copies(series == "Old").alias("old"),
+        _copies(series == "New").alias("new"),
         F.lit(0).alias("category"),
     )
     none = F.lit(0)

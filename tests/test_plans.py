@@ -1,12 +1,17 @@
 """What the plans look like: what reaches the scan, what is broadcast, what is shuffled."""
 
+import dataclasses
 import re
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 from brandtrack.operators import pulls
 from brandtrack.sample_queries import sample_report
-from star_data import plan_of
+from brandtrack.sources.publish import publish
+from star_data import plan_of, report, spark_rows
+from test_random_stars import random_star
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,6 +20,20 @@ def line_scan(plan: str) -> str:
     return next(block for block in plan.split("\n\n") if "lineitem.parquet" in block)
 
 
+@contextmanager
+def settings(spark, **values):
+    """Session settings for a while; underscores stand for dots."""
+    names = {f"spark.sql.{key.replace('_', '.')}": value for key, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @pytest.fixture(scope="module")
 def small(spark):
     return sample_report(spark, SF)
@@ -48,13 +67,48 @@ def test_oversized_lookups_are_not_broadcast(spark):
     large = sample_report(spark, SF, broadcast_rows=0)
     star = large.star
     assert not any(lookup.fits for lookup in (*star.items.values(), *star.stores.values(), star.days))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
         plan = plan_of(pulls.inferred_weekly(star))
         salted = plan_of(pulls.inferred_category_orders(star))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "rightHint=(strategy=broadcast)" not in plan
+    # only the literal and the 25-row side of the sample tables themselves are left
+    assert plan.split("\n\n")[0].count("BroadcastHashJoin") == 1
     # lines are summed per item, day and store kind before they are joined to the items
     assert re.search(r"Keys \[\d+\]: \[trade_item_key#\w+, cal_dt", plan)
     assert "salt" in salted
+
+
+def test_partitions_outside_the_reports_days_are_skipped(spark, tmp_path):
+    rows = random_star(7)
+    made = report(spark, rows, tmp_path / "report")
+    path = str(tmp_path / "lines")
+    made.tables.fact.write.partitionBy("ord_date_key").parquet(path)
+    stored = spark.read.parquet(path)
+    made.tables = dataclasses.replace(made.tables, fact=stored, loyal_fact=stored)
+    df = pulls.inferred_weekly(made.star)
+    scan = next(block for block in plan_of(df).split("\n\n") if path in block)
+    pruned = re.search(r"PartitionFilters: \[(.*)\]", scan).group(1)
+    assert "ord_date_key" in pruned and ">=" in pruned and "<=" in pruned
+    plain = report(spark, rows, tmp_path / "plain")
+    assert spark_rows(df) == spark_rows(pulls.inferred_weekly(plain.star))
+
+
+def test_hot_order_is_split(spark, tmp_path):
+    """A third of all lines on one order: its partition is read in pieces, with the same result."""
+    made = sample_report(spark, "/root/testdata/sf0.01")
+    fact = made.tables.fact
+    hot = F.pmod(F.xxhash64(*fact.columns), F.lit(3)) == 0
+    key = F.when(hot, F.lit(1)).otherwise(F.col("ord_event_key"))
+    path = str(tmp_path / "lines")
+    stored = publish(fact.withColumn("ord_event_key", key).repartition(16), path)
+    made.tables = dataclasses.replace(made.tables, fact=stored, loyal_fact=stored)
+    plain = pulls.loyal_weekly(made.star)
+    expected = spark_rows(plain)
+    small_pieces = {
+        "shuffle_partitions": "16",
+        "adaptive_advisoryPartitionSizeInBytes": "4k",
+        "adaptive_skewJoin_skewedPartitionThresholdInBytes": "4k",
+    }
+    with settings(spark, autoBroadcastJoinThreshold="-1", **small_pieces):
+        split = pulls.loyal_weekly(made.star)
+        assert spark_rows(split) == expected
+        assert "skew=true" in plan_of(split)
