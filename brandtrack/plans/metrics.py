@@ -105,9 +105,9 @@ def metric_parts(weeks: DataFrame, header: DataFrame, params: ReportParams) -> D
         "before_launch": (week >= F.date_sub(launch, PRE_LAUNCH_DAYS)) & (week < launch),
         "whole": week.between(F.date_sub(launch, PRE_LAUNCH_DAYS), F.lit(params.stop_date)),
     }
-    launches = header.select("grpnum", "convdate")
-    sliced = weeks.join(launches, "grpnum").withColumns(slices)
-    year_ago, since_launch = F.col("year_ago"), F.col("since_launch")
+    keys = ["grpnum", "banner"]
+    groups = with_banners(header.select("grpnum", "convdate"))
+    sliced = groups.join(weeks, keys, "left").withColumns(slices)
 
     def total(value: str, where: str, name: str) -> Column:
         return F.expr(f"sum(CASE WHEN {where} THEN {value} END)").alias(name)
@@ -140,17 +140,7 @@ def metric_parts(weeks: DataFrame, header: DataFrame, params: ReportParams) -> D
         last("yago_old_sales", "year_ago AND has_old", "last_yago_old_sales"),
         last("yago_cat_sales", "year_ago AND has_cat", "last_yago_cat_sales"),
     ]
-    keys = ["grpnum", "banner"]
-    groups = with_banners(header.select("grpnum", "division"))
-    return groups.join(sliced.groupBy(*keys).agg(*parts), keys, "left")
-
-
-def _shares() -> dict[str, Column]:
-    shares = {}
-    for m in MEASURES:
-        shares[f"old_{m}_share_yago"] = share(F.col(f"yago_brand_{m}"), F.col(f"yago_cat_{m}"))
-        shares[f"new_{m}_share"] = share(F.col(f"new_{m}"), F.col(f"cat_{m}"))
-    return shares
+    return sliced.groupBy(*keys).agg(*parts)
 
 
 def rated(parts: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ class BrandReport:
         self.tables, self.params = tables, params
         self.raw_list = raw_list
         self.folder = folder or shared_folder(raw_list.sparkSession)
+        self._tables_written: set[str] = set()
 
     @cached_property
     def conv(self) -> DataFrame:
@@ -57,7 +58,20 @@ class BrandReport:
 
     def upload_list(self) -> "BrandReport":
         """Write the cleaned list and go on from the written one."""
-        self.__dict__["conv"] = publish(self.conv, f"{self.folder}/conv_upcs_ttl")
+        return self._written("conv", "conv_upcs_ttl")
+
+    def publish_weeks(self) -> "BrandReport":
+        """Write the weekly table and go on from the written one.
+
+        After that no result reads the order lines again, also when an executor is lost.
+        """
+        return self._written("weeks", "weeks")
+
+    def _written(self, field: str, table: str) -> "BrandReport":
+        """Replace a lazy table by its written copy; once, since a copy cannot be written over itself."""
+        if table not in self._tables_written:
+            self.__dict__[field] = publish(getattr(self, field), f"{self.folder}/{table}")
+            self._tables_written.add(table)
         return self
 
     @cached_property
@@ -80,14 +94,6 @@ class BrandReport:
         """One row per group, banner and week. Everything below is computed from it."""
         return metrics.banner_weeks(pulls.loyal_weekly(self.star), pulls.inferred_weekly(self.star))
 
-    def publish_weeks(self) -> "BrandReport":
-        """Write the weekly table and go on from the written one.
-
-        After that no result reads the order lines again, also when an executor is lost.
-        """
-        self.__dict__["weeks"] = publish(self.weeks, f"{self.folder}/weeks")
-        return self
-
     @cached_property
     def parts(self) -> DataFrame:
         return metrics.metric_parts(self.weeks, self.header, self.params)

@@ -44,7 +44,7 @@ def _branch(name: str) -> Query:
 
 
 def _upload_counts(report: BrandReport) -> DataFrame:
-    listed = publish(report.conv, f"{report.folder}/conv_upcs_ttl")
+    listed = report.upload_list().conv
     dated = publish(report.dated_category, f"{report.folder}/upc_cat_all_ttl")
     return published_rows(conv_upcs_ttl=listed, upc_cat_all_ttl=dated)
 

@@ -41,7 +41,7 @@ def test_run_from_files_to_summary(spark, tmp_path):
     params = ReportParams.for_week("20010630", brand_flag=None)
     assert params.stop_yago == date(2000, 7, 1)
     report = BrandReport(tables, read_conversion_list(spark, str(listing)), params)
-    report.publish_weeks()
+    assert report.publish_weeks().publish_weeks().upload_list() is report
     assert (Path(report.folder) / "weeks" / "_SUCCESS").exists()
 
     con = duck(rows)
