@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, mixing, quality_rules, sharding
+from . import chat_format, mixing, quality_classifier, quality_rules, secret_scan, sharding, token_counts
 from .tables import read_table
 
+def vocabulary(name: str) -> str:
+    """A file of the public vocabularies that are installed beside the libraries; read on the driver only."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -20,6 +32,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality_classifier.digest(docs, read_table(spark, sf_dir, "labels"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(read_table(spark, sf_dir, "conversations"))
 
@@ -28,12 +45,19 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_counts": op1_token_counts,
         "op3_quality_rules": op3_quality_rules,
         "op4_mix_sources": op4_mix_sources,
+        "op7_quality_classifier": op7_quality_classifier,
         "op8_chat_format": op8_chat_format,
         "op9_shards": op9_shards,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
