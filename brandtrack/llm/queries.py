@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, mixing, quality_classifier, quality_rules, secret_scan, sharding, token_counts
+from . import (
+    chat_format,
+    decontamination,
+    mixing,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    token_counts,
+)
 from .tables import read_table
 
 def vocabulary(name: str) -> str:
@@ -24,6 +34,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -32,6 +46,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontamination.digest(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_classifier.digest(docs, read_table(spark, sf_dir, "labels"))
@@ -52,8 +71,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_ngram_join": op2_ngram_join,
         "op3_quality_rules": op3_quality_rules,
         "op4_mix_sources": op4_mix_sources,
+        "op6_decontaminate": op6_decontaminate,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_chat_format": op8_chat_format,
         "op9_shards": op9_shards,
