@@ -16,6 +16,7 @@ from . import (
     secret_scan,
     sharding,
     token_counts,
+    wrapper_extract,
 )
 from .tables import read_table
 
@@ -46,6 +47,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op5_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper_extract.digest(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return decontamination.digest(docs, read_table(spark, sf_dir, "benchmark"))
@@ -74,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op2_ngram_join": op2_ngram_join,
         "op3_quality_rules": op3_quality_rules,
         "op4_mix_sources": op4_mix_sources,
+        "op5_extract_html": op5_extract_html,
         "op6_decontaminate": op6_decontaminate,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_chat_format": op8_chat_format,
