@@ -226,5 +226,7 @@ def mix_documents(docs: DataFrame, mix: Mix = PRODUCTION, tokens: Column | None
 
 
 def digest(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+    """The chosen documents by id, with the leaf that each is in."""
     chosen = mix_documents(docs.select("doc_id", "text", "lang", "source"), mix)
-    return chosen.select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
+    named = [F.coalesce(name, F.lit(NONE)).alias(name) for name in ("lang", "source")]
+    return chosen.select("doc_id", "domain", *named, "n_tokens", "copies")

@@ -117,13 +117,15 @@ class Trees:
 
     def score(self, x: np.ndarray) -> np.ndarray:
         n_trees = self.feature.shape[0]
+        if not n_trees:
+            return np.full(x.shape[0], 1.0 / (1.0 + np.exp(-self.base)))
         tree = np.arange(n_trees)[None, :]
         node = np.zeros((x.shape[0], n_trees), dtype=np.int64)
         rows = np.arange(x.shape[0])[:, None]
-        for _ in range(DEPTH if n_trees else 0):
+        for _ in range(DEPTH):
             right = x[rows, self.feature[tree, node]] > self.threshold[tree, node]
             node = 2 * node + 1 + right
-        total = self.leaf[tree, node - (2**DEPTH - 1)].sum(axis=1) if n_trees else 0.0
+        total = self.leaf[tree, node - (2**DEPTH - 1)].sum(axis=1)
         return 1.0 / (1.0 + np.exp(-(self.base + total)))
 
 

@@ -88,15 +88,16 @@ def _again() -> Column:
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the id and what the rules look at."""
-    trimmed = F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(WHITE))
-    texts = docs.select(F.col(id_col).alias("doc_id"), trimmed.alias("_text"))
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    trimmed = F.btrim(whole, F.lit(WHITE))
+    texts = docs.select(F.col(id_col).alias("doc_id"), whole.alias("_whole"), trimmed.alias("_text"))
     cut = texts.select(
         "doc_id",
         F.when(F.col("_text") == "", F.array().cast("array<string>"))
         .otherwise(F.split("_text", GAP))
         .alias("_words"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        F.filter(F.split("_text", "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "").alias("_lines"),
+        F.filter(F.split("_whole", "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "").alias("_lines"),
     )
     counted = cut.select(
         "doc_id",

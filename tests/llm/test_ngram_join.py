@@ -1,0 +1,147 @@
+import random
+
+import numpy as np
+import pytest
+
+from brandtrack.llm import ngram_join as nj
+from brandtrack.llm.components import components
+from brandtrack.llm.tables import Workspace
+
+
+def plain_set(text, n):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    if len(words) < n:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def brute(rows, alike):
+    """Component of each id, comparing all pairs."""
+    sets = [(i, plain_set(text, alike.n)) for i, text in rows]
+    part = {i: i for i, _ in rows if i is not None}
+
+    def top(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for k, (i, s) in enumerate(sets):
+        for j, t in sets[:k]:
+            if i is None or j is None or not s or not t:
+                continue
+            if alike.den * len(s & t) >= alike.num * len(s | t):
+                a, b = sorted((top(i), top(j)))
+                part[b] = a
+    return sorted(
+        ((i, len(s), top(i) if i is not None else None) for i, s in sets), key=lambda r: (r[0] is None, r)
+    )
+
+
+def near_copies(seed, n_docs):
+    """Copies and edited copies of a few texts, some of which share a long passage."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdeéß") for _ in range(rng.randrange(1, 4)))
+    passage = [word() for _ in range(25)]
+    texts = []
+    while len(texts) < n_docs:
+        words = [word() for _ in range(rng.choice([1, 2, 3, 5, 8, 12, 20, 40, 90, 200]))]
+        if rng.random() < 0.4:
+            words = passage + words
+        for _ in range(rng.choice([1, 1, 2, 6])):
+            edited = list(words)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
+                edited[rng.randrange(len(edited))] = word()
+            if rng.random() < 0.3:
+                edited = edited[: max(1, len(edited) - rng.randrange(4))]
+            texts.append(rng.choice([" ", "  ", "\n"]).join(edited).replace("a", rng.choice("aA")))
+    rows = list(enumerate(texts[:n_docs]))
+    rng.shuffle(rows)
+    return rows
+
+
+def joined(spark, rows, alike):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in nj.join_components(docs, alike).collect()]
+    return sorted(found, key=lambda r: (r[0] is None, r))
+
+
+@pytest.mark.parametrize("alike", [nj.CONTRACT, nj.NEAR_DUPLICATES, nj.Alike(2, 1, 2)])
+def test_components_equal_brute_force(spark, alike):
+    rows = near_copies(alike.num, 220)
+    assert joined(spark, rows, alike) == brute(rows, alike)
+
+
+def test_leaving_out_common_signatures_and_many_leader_rounds_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(nj, "HOT", 2)
+    monkeypatch.setattr(nj, "PAIRS_PER_ROW", 0)
+    rows = near_copies(77, 90)
+    assert joined(spark, rows, nj.NEAR_DUPLICATES) == brute(rows, nj.NEAR_DUPLICATES)
+
+
+def test_a_large_group_of_near_copies(spark):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        words[rng.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    assert joined(spark, rows, nj.NEAR_DUPLICATES) == brute(rows, nj.NEAR_DUPLICATES)
+
+
+def test_nulls_empty_texts_repeated_ids_and_empty_tables(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [
+        (5, text), (5, text), (9, text), (None, text), (2, None), (3, ""), (4, " \t\n"), (None, None),
+        (11, "one"), (12, "One"), (20, "a b c d"), (20, "e f g h"), (21, "a b c d"), (22, "e f g h"),
+    ]
+    assert joined(spark, rows, nj.CONTRACT) == brute(rows, nj.CONTRACT)
+    assert joined(spark, [], nj.CONTRACT) == []
+
+
+def test_keep_one_keeps_a_document_of_each_group_with_all_its_columns(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(5, text, "a", 1), (3, text, "b", 2), (3, text + " z", "c", 3), (8, "other", "d", 4), (None, text, "e", 5), (9, None, "f", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string, size int")
+    kept = nj.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {(r["doc_id"], r["component_id"]) for r in kept.collect()} == {(3, "b"), (8, "d"), (None, "e"), (9, "f")}
+    assert nj.keep_one(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("alike", [nj.CONTRACT, nj.NEAR_DUPLICATES])
+def test_alike_sets_share_a_signature(alike):
+    """Whatever the edits, two sets that are alike meet in the larger one's scheme, hot ones left out or not."""
+    rng = np.random.default_rng(alike.num)
+    lows = alike.bands()
+    for _ in range(400):
+        size = int(rng.integers(2, 150))
+        a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        gone = int(rng.integers(0, size // 4 + 1))
+        b = np.concatenate([a[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, size // 5 + 1)), dtype=np.uint64)])
+        common = len(np.intersect1d(a, b))
+        if alike.den * common < alike.num * (len(a) + len(b) - common):
+            continue
+        large = max(len(a), len(b))
+        band = np.searchsorted(lows, large, side="right") - 1
+        scheme = alike.scheme(int(band), 1000)
+        if scheme is None:
+            assert set(a.tolist()) == set(b.tolist())
+            continue
+        shared = np.intersect1d(nj.signatures(np.unique(a), scheme), nj.signatures(np.unique(b), scheme))
+        assert shared.size
+        differ = len(a) + len(b) - 2 * common
+        sketches = [np.frombuffer(nj.sketch(np.unique(x)), dtype=np.uint8) for x in (a, b)]
+        assert (sketches[0] != sketches[1]).sum() <= differ <= scheme.differ
+
+
+def test_components_of_paths_stars_and_cycles(spark):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 202), (202, 200)]
+    edges = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges] + [(300, 300), (200, 201)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    found = {r["node"]: r["component"] for r in components(df, Workspace(spark), "t").collect()}
+    assert found == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 140)} | {201: 200, 202: 200}

@@ -1,0 +1,72 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from brandtrack.llm import quality_classifier as qc
+from brandtrack.llm.tables import read_table
+
+
+def walk(trees, x):
+    """Scores row by row and tree by tree."""
+    found = []
+    for row in x:
+        total = trees.base
+        for t in range(trees.feature.shape[0]):
+            node = 0
+            while node < 2**qc.DEPTH - 1:
+                node = 2 * node + 1 + int(row[trees.feature[t, node]] > trees.threshold[t, node])
+            total += trees.leaf[t, node - (2**qc.DEPTH - 1)]
+        found.append(1 / (1 + np.exp(-total)))
+    return np.array(found)
+
+
+def test_flat_trees_give_what_walking_gives_and_learn():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 5))
+    y = ((x[:, 0] > 0.2) ^ (x[:, 1] * x[:, 2] > 0)).astype(float)
+    trees = qc.fit(x[:1000], y[:1000])
+    assert np.allclose(trees.score(x), walk(trees, x))
+    assert np.mean((trees.score(x[1000:]) > 0.5) == y[1000:]) > 0.9
+
+
+def test_held_out_documents_are_told_apart(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (read_table(spark, folder, name) for name in ("documents", "labels"))
+    got = qc.digest(docs, labels).join(labels, "doc_id").filter("held_out").select("score", "predicted", "quality")
+    rows = got.collect()
+    good = [r["score"] for r in rows if r["quality"] == 1]
+    bad = [r["score"] for r in rows if r["quality"] == 0]
+    assert len(bad) > 20 and all(0 <= s <= 1 for s in good + bad)
+    assert np.mean([g > b for g in good for b in bad]) > 0.99
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.99
+
+
+def test_held_out_ids_are_those_of_the_rule_and_never_trained_on(spark):
+    docs = spark.createDataFrame([(i, "a b c " * i) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in qc.digest(docs, labels).collect()}
+    out = {i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert {i for i, r in got.items() if r["held_out"]} == out
+    turned = labels.withColumn("quality", (qc.F.lit(1) - qc.F.col("quality")).cast("int"))
+    mixed = labels.filter(~qc.F.col("doc_id").isin(*out)).union(turned.filter(qc.F.col("doc_id").isin(*out)))
+    assert {r["doc_id"]: r["score"] for r in qc.digest(docs, mixed).collect()} == {i: r["score"] for i, r in got.items()}
+
+
+def test_nulls_copies_clashing_columns_and_missing_labels(spark):
+    rows = [(1, "good text here", "k"), (1, "good text here", "k"), (None, None, "k"), (4, "", "k"), (5, "x " * 3000, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in qc.digest(docs, none).collect()} == {0.5}
+    some = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (5, None, 0), (4, 7, 0)], none.schema)
+    got = qc.digest(docs, some).collect()
+    assert len(got) == 5 and [r["held_out"] for r in got if r["doc_id"] is None] == [False]
+    kept = qc.keep_good(docs, none)
+    assert kept.columns == docs.columns and kept.count() == 5
+    assert qc.digest(docs.limit(0), some).collect() == []
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", "a a a a a a", "\n\n", "é" * 10, "A!! B!! | #"])
+def test_statistics_are_numbers(text):
+    x = qc.statistics(text)
+    assert x.shape == (len(qc.STATISTICS),) and np.isfinite(x).all()
