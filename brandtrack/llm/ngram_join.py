@@ -37,15 +37,18 @@ from .components import components
 from .tables import Workspace
 
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-S29, S32, S17 = np.uint64(29), np.uint64(32), np.uint64(17)
-#: Bytes of a sketch, one for each of so many parts of the universe.
-SKETCH = 512
+S17, S29, S32, S56 = np.uint64(17), np.uint64(29), np.uint64(32), np.uint64(56)
+LEAST_SKETCH = 64
 #: A signature of more sets than this is left out where a set has enough others.
 HOT = 64
 #: Ids up to this number are broadcast to the documents.
 ID_BOUND = 1_000_000
 #: The cost of a comparison in signatures, the share of sets that have text in common by chance, and how much.
 COMPARE, RELATED, CHANCE = 2.0, 0.02, 0.3
+#: Signatures that a task packs at once, that a bucket holds about, and that a task of the next step holds.
+PACK, PER_BUCKET, HELD = 1_000_000, 250_000, 4_000_000
+#: Rows of one signature that are held.
+HELD_EACH = 1024
 #: Pairs for each signature row that are compared at once; more go through leaders first.
 PAIRS_PER_ROW = 10
 MOST_BANDS = 255
@@ -127,7 +130,7 @@ class Alike:
         differ = self.differ(2 * high)
         if differ == 0:
             return None
-        units = differ + 1 + (differ + 1) // 8
+        units = differ + 1 + (differ + 1) // 6
 
         def cost(loose: int) -> float:
             exact = units - 2 * loose
@@ -156,14 +159,31 @@ def signatures(members: np.ndarray, scheme: Scheme) -> np.ndarray:
         inside = ~exact[at]
         less = _mixed((total[at[inside]] - weight[inside]) ^ place[at[inside]])
         parts.append((less << np.uint64(9)) | np.uint64(scheme.band << 1))
-    return np.unique(np.concatenate(parts)).view(np.int64)
+        return np.unique(np.concatenate(parts)).view(np.int64)
+    return parts[0].view(np.int64)
 
 
 def sketch(members: np.ndarray) -> bytes:
-    """A byte for each part of the universe. Sets differ in at least as many members as bytes."""
-    total = np.zeros(SKETCH, dtype=np.uint64)
-    np.add.at(total, ((members >> S29) % np.uint64(SKETCH)).astype(np.int64), _mixed(members))
-    return (_mixed(total) & np.uint64(255)).astype(np.uint8).tobytes()
+    """A byte for each part of the universe, at least as many parts as members and a power of two of them.
+
+    Sets differ in at least as many members as bytes. Halves combine by exclusive or into the sketch of half as many
+    parts, so sketches of different lengths can be compared.
+    """
+    parts = max(LEAST_SKETCH, 1 << int(members.size - 1).bit_length()) if members.size else LEAST_SKETCH
+    total = np.zeros(parts, dtype=np.uint8)
+    values = (_mixed(members) >> S56).astype(np.uint8)
+    np.bitwise_xor.at(total, ((members >> S29) % np.uint64(parts)).astype(np.int64), values)
+    return total.tobytes()
+
+
+def bytes_apart(a: bytes, b: bytes) -> int:
+    """Bytes in which two sketches differ, the longer one folded to the other's length."""
+    x, y = (np.frombuffer(s, dtype=np.uint8) for s in (a, b))
+    while x.size > y.size:
+        x = x[: x.size // 2] ^ x[x.size // 2 :]
+    while y.size > x.size:
+        y = y[: y.size // 2] ^ y[y.size // 2 :]
+    return int(np.count_nonzero(x != y))
 
 
 def _profiles(text: Column, n: int) -> Column:
@@ -183,26 +203,98 @@ def _profiles(text: Column, n: int) -> Column:
     return profile(text)
 
 
-def _indexed(text: Column, alike: Alike, schemes: dict[int, Scheme]) -> Column:
-    """Size, sketch and signatures of a text's set."""
+def _emitted(alike: Alike, schemes: dict[int, Scheme], n_buckets: int):
+    """Signatures of all sets in ``(doc_id, text)``, packed by bucket: a row holds many signatures and their ids."""
     lows = alike.bands()
 
-    @F.pandas_udf("size long, sketch binary, signatures array<long>")
-    def index(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def packed(sigs: list[np.ndarray], ids: list[int]) -> pd.DataFrame:
+        owner = np.repeat(np.array(ids, dtype=np.int64), [s.size for s in sigs])
+        sig = np.concatenate(sigs)
+        bucket = ((sig.view(np.uint64) >> np.uint64(9)) % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        found, starts = np.unique(bucket[order], return_index=True)
+        parts = [np.split(x[order], starts[1:]) for x in (sig, owner)]
+        rows = [(int(k), a.tobytes(), b.tobytes()) for k, a, b in zip(found, *parts, strict=True)]
+        return pd.DataFrame(rows, columns=["bucket", "signatures", "ids"])
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = NgramSets(alike.n)
+        sigs: list[np.ndarray] = []
+        ids: list[int] = []
+        held = 0
         for batch in batches:
-            rows = []
-            for text in batch.fillna(""):
-                members = sets.of(text)
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                members = sets.of(text or "")
                 band = bisect_right(lows, members.size) - 1
-                found = [np.zeros(0, dtype=np.int64)]
                 for scheme in (schemes.get(band), schemes.get(band + 1)):
                     if scheme and members.size * alike.den >= lows[scheme.band] * alike.num:
-                        found.append(signatures(members, scheme))
-                rows.append((members.size, sketch(members), np.concatenate(found)))
-            yield pd.DataFrame(rows, columns=["size", "sketch", "signatures"], index=batch.index)
+                        sigs.append(signatures(members, scheme))
+                        ids.append(doc_id)
+                        held += sigs[-1].size
+                if held > PACK:
+                    yield packed(sigs, ids)
+                    sigs, ids, held = [], [], 0
+        if held:
+            yield packed(sigs, ids)
 
-    return index(text)
+    return emit
+
+
+def _several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``(signature, id, n)`` of the signatures in packed rows that occur more than once.
+
+    Rows of a signature that is seen ``HELD_EACH`` times are handed on at once, so no more than that many of each
+    are held, however common one is; ``n`` is at least its number of rows then.
+    """
+
+    def rows(sig: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+        for k in range(0, sig.size, 200_000):
+            cut = slice(k, k + 200_000)
+            yield pd.DataFrame({"signature": sig[cut], "id": ids[cut], "n": n[cut]})
+
+    def runs(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(sig, kind="stable")
+        sig, ids = sig[order], ids[order]
+        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        n = np.diff(np.r_[starts, sig.size])
+        return sig, ids, np.repeat(n, n)
+
+    common = np.zeros(0, dtype=np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, limit = 0, HELD
+    for batch in batches:
+        sig, ids = (np.frombuffer(b"".join(batch[c]), dtype=np.int64) for c in ("signatures", "ids"))
+        if common.size:
+            known = np.isin(sig, common)
+            yield from rows(sig[known], ids[known], np.full(int(known.sum()), HELD_EACH))
+            sig, ids = sig[~known], ids[~known]
+        held.append((sig, ids))
+        size += sig.size
+        if size > limit:
+            sig, ids, n = runs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            many = n >= HELD_EACH
+            yield from rows(sig[many], ids[many], n[many])
+            common = np.union1d(common, sig[many])
+            held = [(sig[~many], ids[~many])]
+            size = held[0][0].size
+            limit = max(HELD, 2 * size)
+    if size:
+        sig, ids, n = runs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        yield from rows(sig[n > 1], ids[n > 1], n[n > 1])
+
+
+def _sketched(text: Column, n: int) -> Column:
+    """Size and sketch of a text's set."""
+
+    @F.pandas_udf("size long, sketch binary")
+    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        sets = NgramSets(n)
+        for batch in batches:
+            found = [sets.of(text) for text in batch.fillna("")]
+            rows = [(members.size, sketch(members)) for members in found]
+            yield pd.DataFrame(rows, columns=["size", "sketch"], index=batch.index)
+
+    return sketched(text)
 
 
 def _members(text: Column, n: int) -> Column:
@@ -219,10 +311,7 @@ def _members(text: Column, n: int) -> Column:
 def _sketches_differ(a: Column, b: Column) -> Column:
     @F.pandas_udf("int")
     def differ(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype="int32")
-        left, right = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, SKETCH) for x in (a, b))
-        return pd.Series((left != right).sum(axis=1).astype(np.int32), index=a.index)
+        return pd.Series([bytes_apart(x, y) for x, y in zip(a, b, strict=True)], index=a.index, dtype="int32")
 
     return differ(a, b)
 
@@ -279,9 +368,10 @@ class _Join:
                 schemes[k] = scheme
         firsts = classes.select(F.col("first").alias("doc_id")).distinct()
         texts = self.of_ids(firsts, sum(sizes.values()))
-        index = texts.select("doc_id", _indexed(F.col("text"), self.alike, schemes).alias("i"))
+        live = self.keep(self.shared(texts, schemes, sizes), "shared")
+        ids = self.keep(live.select(F.col("id").alias("doc_id")).distinct(), "shared-ids")
+        index = self.of_ids(ids, ids.count()).select("doc_id", _sketched(F.col("text"), self.alike.n).alias("i"))
         self.index = self.keep(index.select(F.col("doc_id").alias("id"), "i.*"), "index")
-        live = self.keep(self.shared(schemes), "shared")
         links = self.keep(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "links")
         for r in range(1, 1 << 30):
             joined = components(links, self.work, f"part-{r}")
@@ -316,23 +406,42 @@ class _Join:
                 return links
             live = self.keep(rows.filter("id <> leader.id").select("signature", "id"), "live")
 
-    def shared(self, schemes: dict[int, Scheme]) -> DataFrame:
-        """Signatures that several sets have, without those that are very common and not needed."""
-        each = self.index.select("id", F.explode("signatures").alias("signature"))
-        counts = each.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = each.join(counts, "signature")
+    def shared(self, texts: DataFrame, schemes: dict[int, Scheme], sizes: dict[int, int]) -> DataFrame:
+        """``(signature, id)`` of the signatures that several sets have and that a pair may need to meet at.
+
+        A pair that is alike shares at least ``spare + 1`` of a scheme's ``differ + 1 + spare`` segments, a segment
+        with neighbourhoods counting twice: a set that shares fewer with all others together has no partner there.
+        And a set with more than ``differ`` segments that are not very common needs no very common one.
+        """
+        each = sum(n * (schemes[k].exact + schemes[k].loose) for b, n in sizes.items() for k in (b, b + 1) if k in schemes)
+        n_buckets = max(64, each // PER_BUCKET)
+        packed = texts.mapInPandas(_emitted(self.alike, schemes, n_buckets), "bucket long, signatures binary, ids binary")
+        n_parts = max(int(self.work.spark.conf.get("spark.sql.shuffle.partitions")), n_buckets // 4)
+        rows = packed.repartition(n_parts, "bucket").mapInPandas(_several, "signature long, id long, n long")
         if not schemes:
             return rows.select("signature", "id")
-        band = F.shiftright("signature", 1).bitwiseAND(F.lit(255))
-        hot = (F.col("n") > HOT) & (F.col("signature").bitwiseAND(F.lit(1)) == 1)
+        rows = self.keep(rows, "several")
+        exact = F.col("signature").bitwiseAND(F.lit(1)) == 1
+        marked = rows.select(
+            "signature",
+            "id",
+            F.shiftright("signature", 1).bitwiseAND(F.lit(255)).cast("int").alias("band"),
+            F.when(exact, 1).otherwise(2).alias("units"),
+            (exact & (F.col("n") > HOT)).cast("int").alias("hot"),
+        )
         spare = F.create_map(
             *[F.lit(x) for s in schemes.values() for x in (s.band, s.exact + 2 * s.loose - s.differ - 1)]
         )
-        own = Window.partitionBy("id", "band")  # as many rows as a set has segments
-        marked = rows.select("signature", "id", band.cast("int").alias("band"), hot.alias("hot"))
-        n_hot = marked.withColumn("n_hot", F.sum(F.col("hot").cast("int")).over(own))
-        needed = F.col("n_hot") > F.element_at(spare, F.col("band"))
-        return n_hot.filter(~F.col("hot") | needed).select("signature", "id")
+        own = Window.partitionBy("id", "band")  # as many rows as a set has signatures
+        counted = marked.withColumns(
+            {
+                "n_units": F.sum("units").over(own),
+                "n_hot": F.sum("hot").over(own),
+                "spare": F.element_at(spare, F.col("band")),
+            }
+        )
+        wanted = (F.col("n_units") > F.col("spare")) & ((F.col("hot") == 0) | (F.col("n_hot") > F.col("spare")))
+        return counted.filter(wanted).select("signature", "id")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are alike."""
