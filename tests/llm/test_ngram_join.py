@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -134,8 +135,20 @@ def test_alike_sets_share_a_signature(alike):
         shared = np.intersect1d(nj.signatures(np.unique(a), scheme), nj.signatures(np.unique(b), scheme))
         assert shared.size
         differ = len(a) + len(b) - 2 * common
-        sketches = [np.frombuffer(nj.sketch(np.unique(x)), dtype=np.uint8) for x in (a, b)]
-        assert (sketches[0] != sketches[1]).sum() <= differ <= scheme.differ
+        assert nj.bytes_apart(nj.sketch(np.unique(a)), nj.sketch(np.unique(b))) <= differ <= scheme.differ
+
+
+def test_common_signatures_are_handed_on_and_none_is_lost(monkeypatch):
+    monkeypatch.setattr(nj, "HELD", 50)
+    monkeypatch.setattr(nj, "HELD_EACH", 4)
+    rng = random.Random(2)
+    rows = [(rng.choice([7, 7, 8, *range(100, 400)]), i) for i in range(900)]
+    pack = lambda part: tuple(np.array(x, dtype=np.int64).tobytes() for x in zip(*part, strict=True))
+    packed = [pack(rows[k : k + 10]) for k in range(0, 900, 10)]
+    batches = [nj.pd.DataFrame(packed[k : k + 3], columns=["signatures", "ids"]) for k in range(0, 90, 3)]
+    got = [tuple(r[:2]) for df in nj._several(iter(batches)) for r in df.itertuples(index=False)]
+    times = Counter(s for s, _ in rows)
+    assert sorted(got) == sorted(r for r in rows if times[r[0]] > 1)
 
 
 def test_components_of_paths_stars_and_cycles(spark):
