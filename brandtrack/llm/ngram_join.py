@@ -12,8 +12,8 @@ Schemes have a few spare segments, so that signatures which very many sets share
 Pairs that meet are filtered by size and by sketches that bound the difference from below, and verified exactly.
 
 Equal sets are one class before anything is compared. Of the sets that share a signature each is compared with one
-leader first; then only sets that are in different components are compared, while such pairs are many again with
-leaders, so a large group of near copies costs a few comparisons per set and not one per pair.
+leader first, as long as that brings many of them together, so a large group of near copies costs a few comparisons
+per set; then the sets in different components are compared, in blocks and by sketch, where they lie.
 
 Defined results: words and links as in ``NgramSets``; a null text or one without words has an empty set, is
 linked with nothing and is its own component; a document is its id: several texts of one id count as sets of one
@@ -38,6 +38,7 @@ from .tables import Workspace
 
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 S17, S29, S32, S56 = np.uint64(17), np.uint64(29), np.uint64(32), np.uint64(56)
+#: Least number of parts of a sketch.
 LEAST_SKETCH = 64
 #: A signature of more sets than this is left out where a set has enough others.
 HOT = 64
@@ -46,11 +47,11 @@ ID_BOUND = 1_000_000
 #: The cost of a comparison in signatures, the share of sets that have text in common by chance, and how much.
 COMPARE, RELATED, CHANCE = 2.0, 0.02, 0.3
 #: Signatures that a task packs at once, that a bucket holds about, and that a task of the next step holds.
-PACK, PER_BUCKET, HELD = 1_000_000, 250_000, 4_000_000
+PACK, PER_BUCKET, HELD = 500_000, 250_000, 1_500_000
 #: Rows of one signature that are held.
 HELD_EACH = 1024
-#: Pairs for each signature row that are compared at once; more go through leaders first.
-PAIRS_PER_ROW = 10
+#: Sets of one signature that are compared with each other in one step; more are cut into blocks of about so many.
+BLOCK = 256
 MOST_BANDS = 255
 
 
@@ -76,7 +77,7 @@ class NgramSets:
     than ``n`` words the whole sequence is the only member.
     """
 
-    def __init__(self, n: int, known: int = 400_000):
+    def __init__(self, n: int, known: int = 200_000):
         self.n, self.known, self.hashes = n, known, _WordHashes()
 
     def of(self, text: str) -> np.ndarray:
@@ -164,26 +165,29 @@ def signatures(members: np.ndarray, scheme: Scheme) -> np.ndarray:
 
 
 def sketch(members: np.ndarray) -> bytes:
-    """A byte for each part of the universe, at least as many parts as members and a power of two of them.
+    """A bit for each part of the universe, whether an odd number of members lies in it.
 
-    Sets differ in at least as many members as bytes. Halves combine by exclusive or into the sketch of half as many
-    parts, so sketches of different lengths can be compared.
+    There are at least as many parts as members, and a power of two of them. Sets differ in at least as many members
+    as bits. Halves combine by exclusive or into the sketch of half as many parts, so sketches of different lengths
+    can be compared.
     """
     parts = max(LEAST_SKETCH, 1 << int(members.size - 1).bit_length()) if members.size else LEAST_SKETCH
-    total = np.zeros(parts, dtype=np.uint8)
-    values = (_mixed(members) >> S56).astype(np.uint8)
-    np.bitwise_xor.at(total, ((members >> S29) % np.uint64(parts)).astype(np.int64), values)
-    return total.tobytes()
+    counts = np.bincount(((members >> S29) % np.uint64(parts)).astype(np.int64), minlength=parts)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def bytes_apart(a: bytes, b: bytes) -> int:
-    """Bytes in which two sketches differ, the longer one folded to the other's length."""
-    x, y = (np.frombuffer(s, dtype=np.uint8) for s in (a, b))
-    while x.size > y.size:
-        x = x[: x.size // 2] ^ x[x.size // 2 :]
-    while y.size > x.size:
-        y = y[: y.size // 2] ^ y[y.size // 2 :]
-    return int(np.count_nonzero(x != y))
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch of at least ``size`` bytes as one of ``size`` bytes."""
+    bits = np.frombuffer(sketch, dtype=np.uint8)
+    while bits.size > size:
+        bits = bits[: bits.size // 2] ^ bits[bits.size // 2 :]
+    return bits
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the other's length."""
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum())
 
 
 def _profiles(text: Column, n: int) -> Column:
@@ -203,6 +207,15 @@ def _profiles(text: Column, n: int) -> Column:
     return profile(text)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """64-bit numbers as their first bytes, their second ones and so on, which compresses what they have in common."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def from_planes(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, dtype=np.uint8).reshape(8, -1).T).reshape(-1).view(np.int64)
+
+
 def _emitted(alike: Alike, schemes: dict[int, Scheme], n_buckets: int):
     """Signatures of all sets in ``(doc_id, text)``, packed by bucket: a row holds many signatures and their ids."""
     lows = alike.bands()
@@ -214,7 +227,7 @@ def _emitted(alike: Alike, schemes: dict[int, Scheme], n_buckets: int):
         order = np.argsort(bucket, kind="stable")
         found, starts = np.unique(bucket[order], return_index=True)
         parts = [np.split(x[order], starts[1:]) for x in (sig, owner)]
-        rows = [(int(k), a.tobytes(), b.tobytes()) for k, a, b in zip(found, *parts, strict=True)]
+        rows = [(int(k), planes(a), planes(b)) for k, a, b in zip(found, *parts, strict=True)]
         return pd.DataFrame(rows, columns=["bucket", "signatures", "ids"])
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -263,7 +276,9 @@ def _several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size, limit = 0, HELD
     for batch in batches:
-        sig, ids = (np.frombuffer(b"".join(batch[c]), dtype=np.int64) for c in ("signatures", "ids"))
+        if not len(batch):
+            continue
+        sig, ids = (np.concatenate([from_planes(x) for x in batch[c]]) for c in ("signatures", "ids"))
         if common.size:
             known = np.isin(sig, common)
             yield from rows(sig[known], ids[known], np.full(int(known.sum()), HELD_EACH))
@@ -311,11 +326,63 @@ def _members(text: Column, n: int) -> Column:
 def _sketches_differ(a: Column, b: Column) -> Column:
     @F.pandas_udf("int")
     def differ(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([bytes_apart(x, y) for x, y in zip(a, b, strict=True)], index=a.index, dtype="int32")
+        return pd.Series([bits_apart(x, y) for x, y in zip(a, b, strict=True)], index=a.index, dtype="int32")
 
     return differ(a, b)
 
 
+def _close_pairs(alike: Alike):
+    """Pairs ``(a, b)`` that their sizes and sketches don't tell apart, from sorted groups of sets.
+
+    Rows are ``(signature, block_a, block_b, block, id, part, size, sketch)``, groups have equal first three columns;
+    a group's sets may lie in several batches, and one group is held at a time. Sets of one part aren't compared, and
+    in a group of two blocks only sets of different blocks are.
+    """
+    sum_, rest = alike.den + alike.num, alike.den - alike.num
+
+    def compared(group: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ids, parts, sizes, block = (group[c].to_numpy() for c in ("id", "part", "size", "block"))
+        width = min(map(len, group["sketch"]))
+        sketches = np.stack([folded(s, width) for s in group["sketch"]])
+        cross = group["block_a"].iloc[0] != group["block_b"].iloc[0]
+        for i in range(len(ids) - 1):
+            other = slice(i + 1, None)
+            fits = parts[other] != parts[i]
+            if cross:
+                fits &= block[other] != block[i]
+            small, large = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
+            fits &= small * alike.den >= large * alike.num
+            at = np.flatnonzero(fits) + i + 1
+            if at.size:
+                apart = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+                at = at[apart * sum_ <= (sizes[at] + sizes[i]) * rest]
+                yield np.full(at.size, ids[i]), ids[at]
+
+    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = ["signature", "block_a", "block_b"]
+        held: pd.DataFrame | None = None
+
+        def results(groups: list[pd.DataFrame]) -> pd.DataFrame:
+            found = [pair for group in groups if len(group) > 1 for pair in compared(group)]
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+            pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            return pairs[pairs["a"] < pairs["b"]].drop_duplicates()
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            values = rows[keys].to_numpy()
+            starts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+            edges = [0, *starts.tolist()]
+            yield results([rows.iloc[x:y] for x, y in zip(edges, edges[1:], strict=False)])
+            held = rows.iloc[edges[-1] :].reset_index(drop=True)
+        if held is not None:
+            yield results([held])
+
+    return close
+
+
 class _Join:
     """The steps of one join; each writes what later steps read."""
 
@@ -373,39 +440,66 @@ class _Join:
         index = self.of_ids(ids, ids.count()).select("doc_id", _sketched(F.col("text"), self.alike.n).alias("i"))
         self.index = self.keep(index.select(F.col("doc_id").alias("id"), "i.*"), "index")
         links = self.keep(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "links")
+        before = None
         for r in range(1, 1 << 30):
-            joined = components(links, self.work, f"part-{r}")
-            labelled = live.join(joined, F.col("id") == F.col("node"), "left").select(
-                "signature", "id", F.coalesce("component", "id").alias("part")
-            )
-            labelled = self.keep(labelled, "labelled")
-            parts = labelled.groupBy("signature", "part").agg(
-                F.count(F.lit(1)).alias("n"), F.min("id").alias("id")
-            )
-            open_ = parts.groupBy("signature").agg(
-                F.sum("n").alias("n"),
-                ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
-                F.min_by(F.struct("id", "part"), F.struct("n", "id")).alias("leader"),
-            )
-            open_ = self.keep(open_.filter("pairs > 0"), "open")
+            labelled, open_ = self.labelled(live, links, r)
             todo = open_.agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs")).first()
             if not todo["n"]:
                 return links
-            rows = labelled.join(open_.select("signature", "leader"), "signature")
-            last = r > 1 and todo["pairs"] <= PAIRS_PER_ROW * todo["n"]
-            if last:
-                b = rows.select("signature", F.col("id").alias("b"), F.col("part").alias("part_b"))
-                pairs = rows.select("signature", F.col("id").alias("a"), "part").join(b, "signature")
-                pairs = pairs.filter("a < b and part <> part_b").select("a", "b")
-            else:
-                pairs = rows.filter("part <> leader.part").select(
-                    F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")
-                )
-            links = self.keep(links.union(self.verified(pairs.distinct())), "links")
-            if last:
-                return links
+            rows = labelled.join(open_.select("signature", F.col("n").alias("n_sets"), "leader"), "signature")
+            if before and todo["pairs"] > before / 2:  # leaders don't bring many sets together any more
+                return self.keep(links.union(self.verified(self.close_pairs(rows))), "links")
+            before = todo["pairs"]
+            pairs = rows.filter("part <> leader.part").select(
+                F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")
+            )
+            links = self.keep(links.union(self.verified(self.told_apart(pairs.distinct()))), "links")
             live = self.keep(rows.filter("id <> leader.id").select("signature", "id"), "live")
 
+    def labelled(self, live: DataFrame, links: DataFrame, r: int) -> tuple[DataFrame, DataFrame]:
+        """The sets with their parts, the components so far, and the signatures that have sets of several parts.
+
+        The leader of such a signature is a set of its smallest part.
+        """
+        joined = components(links, self.work, f"part-{r}")
+        labelled = live.join(joined, F.col("id") == F.col("node"), "left").select(
+            "signature", "id", F.coalesce("component", "id").alias("part")
+        )
+        labelled = self.keep(labelled, "labelled")
+        parts = labelled.groupBy("signature", "part").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+        open_ = parts.groupBy("signature").agg(
+            F.sum("n").alias("n"),
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+            F.min_by(F.struct("id", "part"), F.struct("n", "id")).alias("leader"),
+        )
+        return labelled, self.keep(open_.filter("pairs > 0"), "open")
+
+    def close_pairs(self, rows: DataFrame) -> DataFrame:
+        """Pairs of sets of one signature and different parts that may be alike.
+
+        Sets are compared where they lie, signature by signature and block by block, so only pairs that sketches
+        can't tell apart become rows.
+        """
+        n_blocks = F.ceil(F.col("n_sets") / BLOCK).cast("long")
+        sets = self.index.select("id", "size", "sketch")
+        own = rows.select("signature", "id", "part", n_blocks.alias("n_blocks")).join(sets, "id")
+        block = F.pmod(F.xxhash64("id"), F.col("n_blocks"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
+        dealt = own.withColumn("block", block).withColumn("other", other)
+        keyed = dealt.select(
+            "signature",
+            F.least("block", "other").alias("block_a"),
+            F.greatest("block", "other").alias("block_b"),
+            "block",
+            "id",
+            "part",
+            "size",
+            "sketch",
+        )
+        keys = ["signature", "block_a", "block_b"]
+        grouped = keyed.repartition(*keys).sortWithinPartitions(*keys)
+        return grouped.mapInPandas(_close_pairs(self.alike), "a long, b long")
+
     def shared(self, texts: DataFrame, schemes: dict[int, Scheme], sizes: dict[int, int]) -> DataFrame:
         """``(signature, id)`` of the signatures that several sets have and that a pair may need to meet at.
 
@@ -443,8 +537,8 @@ class _Join:
         wanted = (F.col("n_units") > F.col("spare")) & ((F.col("hot") == 0) | (F.col("n_hot") > F.col("spare")))
         return counted.filter(wanted).select("signature", "id")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are alike."""
+    def told_apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that their sizes and sketches don't tell apart."""
         num, den = self.alike.num, self.alike.den
         left = self.index.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("s_a"))
         right = self.index.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("s_b"))
@@ -456,7 +550,12 @@ class _Join:
                 <= (F.col("size_a") + F.col("size_b")) * (den - num)
             )
         )
-        near = self.keep(near.select("a", "b").distinct(), "near")
+        return near.select("a", "b")
+
+    def verified(self, near: DataFrame) -> DataFrame:
+        """The pairs that are alike."""
+        num, den = self.alike.num, self.alike.den
+        near = self.keep(near.distinct(), "near")
         ids = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
         ids = self.keep(ids, "near-ids")
         sets = self.of_ids(ids, ids.count()).select("doc_id", _members(F.col("text"), self.alike.n).alias("m"))

@@ -75,9 +75,9 @@ def test_components_equal_brute_force(spark, alike):
     assert joined(spark, rows, alike) == brute(rows, alike)
 
 
-def test_leaving_out_common_signatures_and_many_leader_rounds_lose_no_link(spark, monkeypatch):
+def test_leaving_out_common_signatures_and_small_blocks_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(nj, "HOT", 2)
-    monkeypatch.setattr(nj, "PAIRS_PER_ROW", 0)
+    monkeypatch.setattr(nj, "BLOCK", 3)
     rows = near_copies(77, 90)
     assert joined(spark, rows, nj.NEAR_DUPLICATES) == brute(rows, nj.NEAR_DUPLICATES)
 
@@ -135,7 +135,7 @@ def test_alike_sets_share_a_signature(alike):
         shared = np.intersect1d(nj.signatures(np.unique(a), scheme), nj.signatures(np.unique(b), scheme))
         assert shared.size
         differ = len(a) + len(b) - 2 * common
-        assert nj.bytes_apart(nj.sketch(np.unique(a)), nj.sketch(np.unique(b))) <= differ <= scheme.differ
+        assert nj.bits_apart(nj.sketch(np.unique(a)), nj.sketch(np.unique(b))) <= differ <= scheme.differ
 
 
 def test_common_signatures_are_handed_on_and_none_is_lost(monkeypatch):
@@ -143,7 +143,7 @@ def test_common_signatures_are_handed_on_and_none_is_lost(monkeypatch):
     monkeypatch.setattr(nj, "HELD_EACH", 4)
     rng = random.Random(2)
     rows = [(rng.choice([7, 7, 8, *range(100, 400)]), i) for i in range(900)]
-    pack = lambda part: tuple(np.array(x, dtype=np.int64).tobytes() for x in zip(*part, strict=True))
+    pack = lambda part: tuple(nj.planes(np.array(x, dtype=np.int64)) for x in zip(*part, strict=True))
     packed = [pack(rows[k : k + 10]) for k in range(0, 900, 10)]
     batches = [nj.pd.DataFrame(packed[k : k + 3], columns=["signatures", "ids"]) for k in range(0, 90, 3)]
     got = [tuple(r[:2]) for df in nj._several(iter(batches)) for r in df.itertuples(index=False)]
