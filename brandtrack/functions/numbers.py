@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_code(text: Column) -> Column:
-    """Whole number read from text; NULL where the text is no number."""
-    return text.try_cast("double").try_cast("bigint")
+def to_code(text: Column, kind: str = "bigint") -> Column:
+    """Whole number read from text, digit by digit; NULL where the text is no whole number of that kind.
+
+    ``12.0`` is 12; ``12.7``, ``12d``, hex and what does not fit are NULL, never cut or rounded.
+    """
+    number = text.try_cast("decimal(38,18)")
+    return F.when(number == F.floor(number), number).try_cast(kind)
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -18,19 +18,42 @@ def clean_list(raw: DataFrame, min_group: int) -> DataFrame:
             F.col("Division").alias("division"),
             F.col("Series").alias("series"),
             to_code(F.col("UPC")).alias("upc"),
-            to_code(F.col("Group Number")).cast("int").alias("grpnum"),
+            to_code(F.col("Group Number"), "int").alias("grpnum"),
             "brand",
             "productname",
             to_code(F.col("Hierarchy Level 3 Code")).alias("hierl3cd"),
             to_code(F.col("Hierarchy Level 2 Code")).alias("hierl2cd"),
             F.col("Date").cast("date").alias("convdate"),
-            to_code(F.col("level_flag")).cast("int").alias("levelflag"),
+            to_code(F.col("level_flag"), "int").alias("levelflag"),
         )
         .dropDuplicates()
         .filter(F.col("grpnum") > min_group)
     )
 
 
+#: Columns of the delivered list that hold codes, and what they must fit into.
+CODE_COLUMNS = {
+    "UPC": "bigint",
+    "Group Number": "int",
+    "Hierarchy Level 3 Code": "bigint",
+    "Hierarchy Level 2 Code": "bigint",
+    "level_flag": "int",
+}
+
+
+def bad_codes(raw: DataFrame) -> DataFrame:
+    """Per code column, how many delivered cells hold a text that is no whole number and so counts as missing."""
+    bad = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            (F.col(name).isNotNull() & to_code(F.col(name), kind).isNull()).alias("is_bad"),
+        )
+        for name, kind in CODE_COLUMNS.items()
+    ]
+    cells = raw.select(F.inline(F.array(*bad)))
+    return cells.groupBy("column_name").agg(F.count_if(F.col("is_bad")).alias("n_cells"))
+
+
 def scope_list(
     conv: DataFrame,
     without_groups: Sequence[int] = (),
@@ -88,13 +111,17 @@ def in_report_order(df: DataFrame, *more: str) -> DataFrame:
 
 
 def group_header(conv: DataFrame, params: ReportParams) -> DataFrame:
-    """One row per group: names, launch date, the dates its slices are cut at, and the title."""
-    per_group = conv.groupBy("grpnum").agg(
-        F.min("division").alias("division"),
-        F.min("productname").alias("productname"),
-        F.min("convdate").alias("convdate"),
-    )
+    """One row per group: names, launch date, the dates its slices are cut at, and the title.
+
+    Launch date, product and division are those of one list row: the first by date, product and division.
+    """
+    names = ("convdate", "productname", "division")
+    first = F.min(F.struct(*[_last_if_null(name) for name in names])).alias("first")
+    per_group = conv.groupBy("grpnum").agg(first)
     dated = per_group.select(
+        "grpnum",
+        *[F.col(f"first.{name}.value").alias(name) for name in ("division", "productname", "convdate")],
+    ).select(
         "*",
         F.date_sub("convdate", YEAR_DAYS).alias("conv_dt_yago"),
         F.date_sub("convdate", PRE_LAUNCH_DAYS).alias("start_date"),

@@ -112,6 +112,7 @@ class Star:
     day_keys: Column
     items: dict[str, Lookup]
     stores: dict[str, Lookup]
+    customers: Lookup | None = None
 
     def lines(self, pull: str, per_order: bool = False) -> DataFrame:
         """Order lines of one pull joined to its items, stores and days.
@@ -124,14 +125,13 @@ class Star:
         rows = self._fact(pull)
         if items.fits:
             rows = attach(rows, items, ["trade_item_key"], salts)
-        rows = attach(rows, self.days, ["ord_date_key"], salts)
+        else:
+            keys = Lookup(items.frame.select("trade_item_key").distinct(), items.rows, False)
+            rows = attach(rows, keys, ["trade_item_key"], salts, "left_semi")
         rows = attach(rows, self.stores[pull], ["ord_touchpoint_key"], salts)
+        rows = attach(rows, self.days, ["ord_date_key"], salts)
         if pull == "loyal" and self.tables.order_loyalty is not None:
-            # Both sides may be huge, so neither is repeated or broadcast: a hot order is split at run
-            # time by the adaptive skew join. Inner, because a semi join would be moved below the
-            # lookup joins and shuffle the lines they are about to drop.
-            loyal = self._loyal(self.tables.order_loyalty).select("ord_event_key")
-            rows = rows.join(loyal, "ord_event_key")
+            rows = self._of_loyal_orders(rows)
         if not items.fits:
             if per_order:
                 rows = attach(rows, items, ["trade_item_key"], salts)
@@ -143,6 +143,31 @@ class Star:
         year = YEAR_DAYS if pull == "loyal" else INFERRED_YEAR_DAYS
         return rows.filter(F.col("cal_dt") >= F.date_sub("convdate", year))
 
+    def _of_loyal_orders(self, rows: DataFrame) -> DataFrame:
+        """The matched lines whose order is a loyalty order; the order header is shuffled once.
+
+        Lines and header may both be huge, so neither is repeated or broadcast: a hot order is split at run
+        time by the adaptive skew join. A semi join, so that a header with repeated orders repeats no line. Its
+        key is made to depend on the day, which every line has by now, because a plain semi join would be
+        moved below the lookup joins and shuffle the lines that they are about to drop.
+        """
+        header = self.tables.order_loyalty
+        if "ord_date_key" in header.columns:
+            header = header.filter(self.day_keys)
+        key = F.when(F.col("cal_dt") <= F.lit(self.params.stop_date), F.col("ord_event_key"))
+        customers = self.tables.customer_loyalty
+        if customers is None:
+            loyal = self._loyal(header).select(F.col("ord_event_key").alias("order_key"))
+            return rows.join(loyal, key == F.col("order_key"), "left_semi")
+        loyal = self._loyal(customers).select("cnsmr_key").distinct()
+        if self.customers.fits:
+            loyal = header.join(F.broadcast(loyal), "cnsmr_key").select(F.col("ord_event_key").alias("order_key"))
+            return rows.join(loyal, key == F.col("order_key"), "left_semi")
+        one = header.groupBy(F.col("ord_event_key").alias("order_key")).agg(F.min("cnsmr_key").alias("cnsmr_key"))
+        bought = rows.join(one, key == F.col("order_key")).drop("order_key")
+        lookup = Lookup(loyal, self.customers.rows, False)
+        return attach(bought, lookup, ["cnsmr_key"], self.params.salts).drop("cnsmr_key")
+
     def _loyal(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("cnsmr_id_typ_loy_cd") == self.params.loyalty_code)
 
@@ -158,7 +183,7 @@ class Star:
 
 
 def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
-    """Size the lookups and find the report's days, in one job that returns three rows.
+    """Size each pull's lookups and find the report's days, in one job that returns a row for each.
 
     ``items`` should be a written table: it is read here and again by each pull. The first day and the
     range of date keys go back into the plan as literals, so that they reach the scan of the order
@@ -173,7 +198,12 @@ def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
         "high": F.max(key).cast("string"),
     }
     in_period = tables.calendar.filter(day.between(earliest.scalar(), stop))
-    sizes = measure(items=(items, {}), stores=(tables.touchpoint, {}), days=(in_period, span))
+    per_pull = {f"items_{pull}": (_items_of(pull, items), {}) for pull in PULLS}
+    per_pull |= {f"stores_{pull}": (_stores_of(pull, stores), {}) for pull in PULLS}
+    if tables.customer_loyalty is not None:
+        coded = F.col("cnsmr_id_typ_loy_cd") == params.loyalty_code
+        per_pull["customers"] = (tables.customer_loyalty.filter(coded).select("cnsmr_key").distinct(), {})
+    sizes = measure(days=(in_period, span), **per_pull)
 
     days = tables.calendar.filter(day.between(F.lit(sizes["days"]["first"]).cast("date"), stop))
     days = days.select(
@@ -191,8 +221,9 @@ def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
         params=params,
         days=lookup("days", days),
         day_keys=F.col("ord_date_key").between(low, high),
-        items={pull: lookup("items", _items_of(pull, items)) for pull in PULLS},
-        stores={pull: lookup("stores", _stores_of(pull, stores)) for pull in PULLS},
+        items={pull: lookup(f"items_{pull}", _items_of(pull, items)) for pull in PULLS},
+        stores={pull: lookup(f"stores_{pull}", _stores_of(pull, stores)) for pull in PULLS},
+        customers=lookup("customers", per_pull["customers"][0]) if "customers" in per_pull else None,
     )
 
 

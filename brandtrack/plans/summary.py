@@ -15,9 +15,9 @@ KEY_METRIC_HEADINGS = (
     "Avg. Wkly New Brand Sales",
     "Avg. Wkly Category Sales",
     "New Brand Units % of Cat. Launch to Date",
-    "Old Brand Units % of Cat. Launch to Date YAGO",
+    "Old Brand Units %  of Cat. Launch to Date YAGO",
     "New Brand Sales % of Cat. Launch to Date",
-    "Old Brand Sales % of Cat. Launch to Date YAGO",
+    "Old Brand Sales %  of Cat. Launch to Date YAGO",
 )
 
 # Column names of the summary and the total each one shows.
@@ -31,26 +31,26 @@ SUMMARY_COLUMNS = {
 }
 
 
-def summary(totals: DataFrame, header: DataFrame) -> DataFrame:
-    """One row per group in report order: division, product, group and six shares."""
-    names = header.select("grpnum", "division", "productname")
-    rows = names.join(totals, "grpnum").select(
-        "division",
+def summary(totals: DataFrame, header: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row per group in the order of ``groups``: division, product, group and six shares."""
+    names = header.select("grpnum", F.col("division").alias("shown"), "productname")
+    rows = in_report_order(names.join(totals, "grpnum").join(groups, "grpnum"))
+    return rows.select(
+        F.col("shown").alias("division"),
         "productname",
         F.col("grpnum").alias("grp"),
         *[F.col(source).alias(name) for name, source in SUMMARY_COLUMNS.items()],
     )
-    return rows.orderBy(F.col("division").asc_nulls_last(), "grp")
 
 
-def key_metrics_table(metrics: DataFrame, header: DataFrame) -> DataFrame:
-    """Key metrics as text, in report order with the total last; missing values stay NULL."""
+def key_metrics_table(metrics: DataFrame, groups: DataFrame) -> DataFrame:
+    """Key metrics as text, in the order of ``groups`` with the total last; missing values stay NULL."""
     order = F.array_position(F.array(*[F.lit(b) for b in (*BANNERS, TOTAL)]), F.col("banner"))
     texts = [
         (money_text if name.startswith("avg_") else percent_text)(F.col(name)).alias(name)
         for name in KEY_METRICS
     ]
-    placed = metrics.join(header.select("grpnum", "division"), "grpnum").withColumn("place", order)
+    placed = metrics.join(groups, "grpnum").withColumn("place", order)
     return in_report_order(placed, "place").select("grpnum", "banner", *texts)
 
 

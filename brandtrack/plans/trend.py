@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import saturdays
-from .metrics import with_banners
+from .metrics import BANNERS, with_banners
 
 
 def week_spine(header: DataFrame) -> DataFrame:
@@ -16,9 +16,11 @@ def week_spine(header: DataFrame) -> DataFrame:
 
 
 def weekly_trend(weeks: DataFrame, header: DataFrame) -> DataFrame:
-    """New, old and category sales per group, banner and week; 0 in a week without sales."""
+    """New, old and category sales per group, banner and week, in this order; 0 in a week without sales."""
     keys = ["grpnum", "banner", "week_end"]
     values = ("new_sales", "old_sales", "cat_sales")
     filled = [F.coalesce(v, F.lit(0).cast("decimal(38,2)")).alias(v) for v in values]
     spine = with_banners(week_spine(header))
-    return spine.join(weeks.select(*keys, *values), keys, "left").select(*keys, *filled)
+    place = F.array_position(F.array(*[F.lit(b) for b in BANNERS]), F.col("banner"))
+    rows = spine.join(weeks.select(*keys, *values), keys, "left").select(*keys, *filled)
+    return rows.orderBy("grpnum", place, "week_end")

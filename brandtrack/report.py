@@ -11,7 +11,7 @@ from .operators.sizing import Lookup
 from .operators.star import Star, plan_star, report_items
 from .params import ReportParams
 from .plans import metrics, summary, trend
-from .sources.publish import publish, shared_folder
+from .sources.publish import is_published, publish, remove, shared_folder
 from .sources.tables import Tables
 
 
@@ -19,17 +19,44 @@ class BrandReport:
     """Lazily built tables of one run.
 
     Sales pulls first write the cleaned list and the report's items (one row per item, group and launch
-    date) under ``folder``, by default a new one below ``spark.checkpoint.dir``, and count the lookups.
+    date) under ``folder``, by default a new one below ``spark.checkpoint.dir``, and count the lookups. Each
+    of the two pulls reads the order lines once, for its weekly table, which is written too: all weekly
+    results come from these. ``close``, or the end of a ``with`` block, removes what the run has written.
     Where ``params.brand_flag`` is set, only the groups of that brand are pulled and reported.
     """
 
+    #: Names of the tables a run writes.
+    WRITTEN = ("conversion_list", "items", "loyal_weeks", "inferred_weeks", "category_upcs")
+
     def __init__(
         self, tables: Tables, raw_list: DataFrame, params: ReportParams, folder: str | None = None
     ) -> None:
         self.tables, self.params = tables, params
         self.raw_list = raw_list
-        self.folder = folder or shared_folder(raw_list.sparkSession)
-        self._tables_written: set[str] = set()
+        self.spark = raw_list.sparkSession
+        self.folder = folder or shared_folder(self.spark)
+        taken = [t for t in self.WRITTEN if folder and is_published(self.spark, f"{folder}/{t}")]
+        if taken:
+            raise ValueError(f"{folder} holds tables of another run: {', '.join(taken)}")
+        self._published: dict[str, DataFrame] = {}
+
+    def __enter__(self) -> "BrandReport":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Remove the tables that this run has written; its results can't be read afterwards."""
+        for table in self._published:
+            remove(self.spark, f"{self.folder}/{table}")
+        self._published.clear()
+
+    def publish(self, df: DataFrame, table: str) -> DataFrame:
+        """Write a table of the run, once, and return the written one."""
+        if table not in self._published:
+            self._published[table] = publish(df, f"{self.folder}/{table}")
+        return self._published[table]
 
     @cached_property
     def conv(self) -> DataFrame:
@@ -44,6 +71,11 @@ class BrandReport:
     def header(self) -> DataFrame:
         return conversion.group_header(self.conv, self.params)
 
+    @cached_property
+    def groups(self) -> DataFrame:
+        """The groups with the division that orders them."""
+        return conversion.report_groups(self.conv, self.params.brand_flag)
+
     @cached_property
     def lookups(self) -> dict[str, Lookup]:
         return category.list_lookups(self.conv, self.params)
@@ -58,20 +90,16 @@ class BrandReport:
 
     def upload_list(self) -> "BrandReport":
         """Write the cleaned list and go on from the written one."""
-        return self._written("conv", "conv_upcs_ttl")
-
-    def publish_weeks(self) -> "BrandReport":
-        """Write the weekly table and go on from the written one.
+        self.__dict__["conv"] = self.publish(self.conv, "conversion_list")
+        return self
 
-        After that no result reads the order lines again, also when an executor is lost.
-        """
-        return self._written("weeks", "weeks")
+    def upload_category(self) -> DataFrame:
+        """Write the dated category codes and return the written table."""
+        return self.publish(self.dated_category, "category_upcs")
 
-    def _written(self, field: str, table: str) -> "BrandReport":
-        """Replace a lazy table by its written copy; once, since a copy cannot be written over itself."""
-        if table not in self._tables_written:
-            self.__dict__[field] = publish(getattr(self, field), f"{self.folder}/{table}")
-            self._tables_written.add(table)
+    def publish_weeks(self) -> "BrandReport":
+        """Write both weekly tables now; otherwise each is written when a result first needs it."""
+        self.loyal_weeks, self.inferred_weeks  # noqa: B018
         return self
 
     @cached_property
@@ -79,20 +107,31 @@ class BrandReport:
         """The order lines ready to be pulled, with the list and the report's items written once."""
         self.upload_list()
         items = report_items(self.conv, self.dated_category, self.tables, self.params)
-        return plan_star(self.tables, publish(items, f"{self.folder}/items"), self.params)
+        return plan_star(self.tables, self.publish(items, "items"), self.params)
+
+    @cached_property
+    def loyal_weeks(self) -> DataFrame:
+        """Sums by group and week of the banner with listed codes."""
+        return self.publish(pulls.loyal_weekly(self.star), "loyal_weeks")
+
+    @cached_property
+    def inferred_weeks(self) -> DataFrame:
+        """Sums by group and week of the banners with inferred codes."""
+        return self.publish(pulls.inferred_weekly(self.star), "inferred_weeks")
 
     def loyal_banner_weekly(self) -> tuple[DataFrame, DataFrame]:
         """Category and brand sums by group and week for the banner with listed codes."""
-        return pulls.loyal_banner_weekly(self.star)
+        return pulls.loyal_category_rows(self.loyal_weeks), pulls.loyal_brand_rows(self.loyal_weeks)
 
     def inferred_brand_weekly(self) -> tuple[DataFrame, DataFrame]:
         """Category and brand sums by group and week for the banners with inferred codes."""
-        return pulls.inferred_brand_weekly(self.star)
+        weeks = self.inferred_weeks
+        return pulls.inferred_category_rows(weeks), pulls.inferred_brand_rows(weeks)
 
     @cached_property
     def weeks(self) -> DataFrame:
         """One row per group, banner and week. Everything below is computed from it."""
-        return metrics.banner_weeks(pulls.loyal_weekly(self.star), pulls.inferred_weekly(self.star))
+        return metrics.banner_weeks(self.loyal_weeks, self.inferred_weeks)
 
     @cached_property
     def parts(self) -> DataFrame:
@@ -118,10 +157,14 @@ class BrandReport:
         return metrics.key_metrics(self.rated)
 
     def key_metrics_table(self) -> DataFrame:
-        return summary.key_metrics_table(self.key_metrics(), self.header)
+        return summary.key_metrics_table(self.key_metrics(), self.groups)
+
+    def headed_table(self) -> DataFrame:
+        """The formatted key metrics under the headings a reader sees."""
+        return summary.with_headings(self.key_metrics_table())
 
     def weekly_trend(self) -> DataFrame:
         return trend.weekly_trend(self.weeks, self.header)
 
     def summary(self) -> DataFrame:
-        return summary.summary(self.total_metrics(), self.header)
+        return summary.summary(self.total_metrics(), self.header, self.groups)

@@ -13,17 +13,18 @@ from .operators import conversion as conv
 from .operators import pulls
 from .plans import trend
 from .report import BrandReport
-from .sources.conversion_list import listed_rows
-from .sources.publish import publish, published_rows
+from .sources.conversion_list import listed_rows, read_conversion_list
+from .sources.publish import published_rows, write_summary
 from .sources.sample_tables import sample_list, sample_params, sample_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def sample_report(spark: SparkSession, sf_dir: str, **params) -> BrandReport:
+def sample_report(spark: SparkSession, sf_dir: str, code_on_line: bool = False, **params) -> BrandReport:
     """The report over the sample tables, for the groups of all brands unless told otherwise."""
     chosen = sample_params(**{"brand_flag": None, **params})
-    return BrandReport(sample_tables(spark, sf_dir), sample_list(spark, sf_dir), chosen)
+    tables = sample_tables(spark, sf_dir, code_on_line)
+    return BrandReport(tables, sample_list(spark, sf_dir), chosen)
 
 
 def _with_doubles(df: DataFrame) -> DataFrame:
@@ -45,8 +46,22 @@ def _branch(name: str) -> Query:
 
 def _upload_counts(report: BrandReport) -> DataFrame:
     listed = report.upload_list().conv
-    dated = publish(report.dated_category, f"{report.folder}/upc_cat_all_ttl")
-    return published_rows(conv_upcs_ttl=listed, upc_cat_all_ttl=dated)
+    return published_rows(conversion_list=listed, category_upcs=report.upload_category())
+
+
+def _list_file(report: BrandReport) -> DataFrame:
+    """The list through a CSV file and back, cleaned."""
+    path = f"{report.folder}/list_file"
+    report.raw_list.write.option("header", True).csv(path)
+    return conv.clean_list(read_conversion_list(report.spark, path), report.params.min_group)
+
+
+def _summary_file(report: BrandReport) -> DataFrame:
+    """The summary as read back from its file."""
+    path = f"{report.folder}/summary_file"
+    shown = report.summary()
+    write_summary(shown, path)
+    return report.spark.read.schema(shown.schema).option("header", True).csv(path)
 
 
 def _week_ends(report: BrandReport) -> DataFrame:
@@ -55,6 +70,12 @@ def _week_ends(report: BrandReport) -> DataFrame:
     return days.withColumn("week_end", week_ending(F.col("cal_dt")))
 
 
+def _stores_on_list(report: BrandReport) -> DataFrame:
+    """The stores that the list of store numbers names."""
+    stores = report.tables.touchpoint.join(report.tables.listed_sites, "site_id_txt")
+    return stores.select("touchpoint_key", "site_id_txt", "ntwk_id")
+
+
 def _tagged(report: BrandReport) -> DataFrame:
     orders = pulls.inferred_brand_orders(report.star)
     return pulls.tag_series(orders, report.conv, report.params)
@@ -75,6 +96,9 @@ def queries() -> dict[str, Query]:
         ),
         "report_groups_by_brand": _query(lambda r: conv.report_groups_by_brand(r.conv)),
         "nonstandard_upcs": _query(lambda r: conv.nonstandard_upcs(r.conv, r.params)),
+        "conv_from_file": _query(_list_file),
+        "dq_bad_codes": _query(lambda r: conv.bad_codes(r.raw_list)),
+        "listed_stores": _query(_stores_on_list),
         "dq_group_attributes": _query(lambda r: conv.group_attributes(r.conv)),
         # the categories
         "cat_upc_l3": _branch(cat.LEVEL_3),
@@ -91,6 +115,7 @@ def queries() -> dict[str, Query]:
         "sr_upc_order_week": _query(lambda r: pulls.loyal_brand_orders(r.star)),
         "sr_cat_order_week": _query(lambda r: pulls.loyal_category_orders(r.star)),
         "sr_upc_week": _query(lambda r: r.loyal_banner_weekly()[1]),
+        "sr_upc_week_line_code": _query(lambda r: r.loyal_banner_weekly()[1], code_on_line=True),
         "sr_cat_week": _query(lambda r: r.loyal_banner_weekly()[0]),
         "prfg_upc_order_week": _query(lambda r: pulls.inferred_brand_orders(r.star)),
         "prfg_upc_series": _query(_tagged),
@@ -107,6 +132,8 @@ def queries() -> dict[str, Query]:
         "total_metrics": _query(lambda r: r.total_metrics()),
         "key_metrics": _query(lambda r: r.key_metrics()),
         "key_metrics_table": _query(lambda r: r.key_metrics_table()),
+        "headed_table": _query(lambda r: r.headed_table()),
+        "summary_file": _query(_summary_file, brand_flag="b"),
         "summary": _query(lambda r: r.summary(), brand_flag="b"),
         "summary_second_brand": _query(lambda r: r.summary(), brand_flag="p"),
     }

@@ -12,17 +12,34 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a folder of this machine.
+    That is the folder in ``spark.checkpoint.dir``, or the one the context was given. Only a local session
+    without either falls back to a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="brandtrack-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/brandtrack-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path and the path on it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def is_published(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table or a folder of them, wherever it lies."""
+    system, place = _place(spark, path)
+    system.delete(place, True)
+
+
 def publish(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as parquet, replacing what is there, and return the written table."""
     df.write.mode("overwrite").parquet(path)

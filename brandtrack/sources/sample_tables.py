@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import week_ending
 from ..params import ReportParams
-from .tables import Tables
+from .tables import Tables, site_list
 
 STOP_DATE = date(2001, 6, 30)
 
@@ -26,21 +26,32 @@ SAMPLE_SCHEMAS = {
     "part": "p_partkey bigint, p_size int",
 }
 
-# Product groups of the sample list (group, part size, level, product, brand, division).
+# Product groups of the sample list (group, part size, level, product, brand, division, days
+# that its launch is later). The last group has rows of two brands, products, divisions and dates.
 SAMPLE_GROUPS = """
-    VALUES (20,  9, 3, 'Old Group', 'b', 'Grocery'),
-           (29,  1, 2, 'Milk',      'b', 'Dairy'),
-           (30,  2, 3, 'Coffee',    'b', 'Grocery'),
-           (31,  3, 3, 'Soup',      'p', 'Grocery'),
-           (32,  4, 3, 'Flour',     'b', 'Bakery'),
-           (33, 41, 3, 'Eggs',      'p', 'Dairy'),
-           (34, 42, 2, 'Paper',     'p', 'Household')
-    AS sample_groups(grpnum, size, levelflag, productname, brand, division)
+    VALUES (20,  9, 3, 'Old Group', 'b', 'Grocery',   0),
+           (29,  1, 2, 'Milk',      'b', 'Dairy',     0),
+           (30,  2, 3, 'Coffee',    'b', 'Grocery',   0),
+           (31,  3, 3, 'Soup',      'p', 'Grocery',   0),
+           (32,  4, 3, 'Flour',     'b', 'Bakery',    0),
+           (33, 41, 3, 'Eggs',      'p', 'Dairy',     0),
+           (34, 42, 2, 'Paper',     'p', 'Household', 0),
+           (35,  5, 3, 'Tea',       'b', 'Grocery',   0),
+           (35,  6, 3, 'Rice',      'p', 'Bakery',  -35)
+    AS sample_groups(grpnum, size, levelflag, productname, brand, division, later)
 """
+# Codes and groups of further list rows, most of them no whole numbers.
+SAMPLE_BAD_CELLS = (
+    ("12.7", "30"), ("12d", "30"), ("0x1p3", "30"), ("123456789012345678901", "30"),
+    ("12345678901234567", "30"), ("4119000001.0", "30"), ("4119000002.9", "30"),
+    ("4119000002", "28.5"), ("4119000002", "99999999999"),
+)
+# Listed stores: numbers that end in 7.
+SAMPLE_STORES = range(7, 10_000, 10)
 
 
 def sample_params(**overrides) -> ReportParams:
-    return ReportParams(stop_date=STOP_DATE, **overrides)
+    return ReportParams.for_week(f"{STOP_DATE:%Y%m%d}", **overrides)
 
 
 def _level2(size):
@@ -56,7 +67,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SAMPLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
+def sample_tables(spark: SparkSession, sf_dir: str, code_on_line: bool = False) -> Tables:
+    """The two views of the lines differ: the loyal one lacks lines 3, the other one lines 4 of all orders.
+
+    The loyalty code is the customer's, or with ``code_on_line`` a column of the loyal view.
+    """
+
     def read(name: str) -> DataFrame:
         return _read(spark, sf_dir, name)
 
@@ -65,6 +81,7 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
     quantity = F.col("l_quantity").cast("bigint")
     fact = line.select(
+        "l_linenumber",
         F.col("l_orderkey").alias("ord_event_key"),
         F.col("l_suppkey").alias("ord_touchpoint_key"),
         F.col("l_partkey").alias("trade_item_key"),
@@ -80,9 +97,14 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
     region = F.col("n_regionkey")
     network = F.when(region <= 2, 66).when(region == 3, 301).otherwise(999)
     site = F.col("s_suppkey").cast("string").alias("site_id_txt")
+    customers = read("customer").select(F.col("c_custkey").alias("cnsmr_key"), loyalty.alias("cnsmr_id_typ_loy_cd"))
+    header = read("orders").select(F.col("o_orderkey").alias("ord_event_key"), F.col("o_custkey").alias("cnsmr_key"))
+    loyal_fact = fact.filter("l_linenumber <> 3").drop("l_linenumber")
+    if code_on_line:
+        loyal_fact = loyal_fact.join(header, "ord_event_key").join(customers, "cnsmr_key").drop("cnsmr_key")
     return Tables(
-        loyal_fact=fact,
-        fact=fact,
+        loyal_fact=loyal_fact,
+        fact=fact.filter("l_linenumber <> 4").drop("l_linenumber"),
         touchpoint=supplier.join(
             F.broadcast(read("nation")), F.col("s_nationkey") == F.col("n_nationkey")
         ).select(F.col("s_suppkey").alias("touchpoint_key"), network.alias("ntwk_id"), site),
@@ -101,15 +123,14 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
             _level2(F.col("p_size")).cast("string").alias("trade_item_hier_l2_cd"),
             F.col("p_size").cast("string").alias("trade_item_hier_l3_cd"),
         ),
-        listed_sites=supplier.filter(F.col("s_suppkey") % 10 == 7).select(site),
-        order_loyalty=read("orders")
-        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(F.col("o_orderkey").alias("ord_event_key"), loyalty.alias("cnsmr_id_typ_loy_cd")),
+        listed_sites=site_list(spark, SAMPLE_STORES),
+        order_loyalty=None if code_on_line else header,
+        customer_loyalty=None if code_on_line else customers,
     )
 
 
 def sample_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversion list as delivered: each row twice, and one unusable code per group."""
+    """The conversion list as delivered: each row twice, and unusable codes and groups."""
     groups = spark.sql(f"SELECT * FROM {SAMPLE_GROUPS}")
     key = F.col("p_partkey")
     part = _read(spark, sf_dir, "part").filter((key % 2 == 0) | (key % 20 == 1))
@@ -119,16 +140,19 @@ def sample_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.array_repeat(_code(key).cast("string"), 2)).alias("upc"),
     )
     unusable = groups.select("*", F.lit("Old").alias("series"), F.lit("n/a").alias("upc"))
+    cells = [F.struct(F.lit(upc).alias("upc"), F.lit(group).alias("as_text")) for upc, group in SAMPLE_BAD_CELLS]
+    odd = groups.filter("grpnum = 30").select("*", F.lit("Old").alias("series"), F.inline(F.array(*cells)))
+    rows = listed.unionByName(unusable).withColumn("as_text", F.col("grpnum").cast("string")).unionByName(odd)
     size = F.col("size")
-    return listed.unionByName(unusable).select(
+    return rows.select(
         F.col("division").alias("Division"),
         F.col("series").alias("Series"),
         F.col("upc").alias("UPC"),
-        F.col("grpnum").cast("string").alias("Group Number"),
+        F.col("as_text").alias("Group Number"),
         "brand",
         "productname",
         size.cast("string").alias("Hierarchy Level 3 Code"),
         _level2(size).cast("string").alias("Hierarchy Level 2 Code"),
-        F.date_add(F.lit(date(2001, 1, 5)), (F.col("grpnum") - 29) * 7).alias("Date"),
+        F.date_add(F.lit(date(2001, 1, 5)), (F.col("grpnum") - 29) * 7 + F.col("later")).alias("Date"),
         F.col("levelflag").cast("string").alias("level_flag"),
     )

@@ -32,8 +32,11 @@ class Tables:
     ``loyal_fact`` serves the banner whose old brand is listed code by code, ``fact`` the two banners
     whose old brand is inferred. The loyalty code is either a column of ``loyal_fact``
     (``cnsmr_id_typ_loy_cd``) or, where the order header holds it, a table ``order_loyalty`` of
-    ``(ord_event_key, cnsmr_id_typ_loy_cd)`` with one row per order; that join then comes last, on the
-    rows that are left.
+    ``(ord_event_key, cnsmr_id_typ_loy_cd)``; that join then comes last, on the rows that are left. Where the
+    customer holds the code, ``order_loyalty`` is ``(ord_event_key, cnsmr_key)`` and ``customer_loyalty``
+    ``(cnsmr_key, cnsmr_id_typ_loy_cd)``. An order is a loyalty order if any of its header rows is; beyond the
+    broadcast bound of customers an order has one customer, the least. Give the header ``ord_date_key`` only if
+    it is the date key of all the order's lines: it is then cut to the report's days at its scan.
     """
 
     loyal_fact: DataFrame
@@ -44,6 +47,7 @@ class Tables:
     hierarchy: DataFrame
     listed_sites: DataFrame
     order_loyalty: DataFrame | None = None
+    customer_loyalty: DataFrame | None = None
 
     def __post_init__(self) -> None:
         wanted = {"loyal_fact": FACT_COLUMNS, "fact": FACT_COLUMNS, **DIMENSION_COLUMNS}
@@ -52,13 +56,18 @@ class Tables:
             if missing:
                 raise ValueError(f"{name} lacks the columns {', '.join(missing)}")
         holder = self.loyal_fact if self.order_loyalty is None else self.order_loyalty
+        if self.customer_loyalty is not None:
+            holder = self.customer_loyalty
+            if self.order_loyalty is None or "cnsmr_key" not in self.order_loyalty.columns:
+                raise ValueError("customer_loyalty needs an order_loyalty with cnsmr_key")
         if "cnsmr_id_typ_loy_cd" not in holder.columns:
-            raise ValueError("cnsmr_id_typ_loy_cd is neither in loyal_fact nor in order_loyalty")
+            raise ValueError("cnsmr_id_typ_loy_cd is in none of the tables that may hold it")
 
 
 def site_list(spark: SparkSession, stores: Iterable[int | str]) -> DataFrame:
     """A list of store numbers as a table of site texts."""
-    return spark.createDataFrame([(str(s),) for s in stores], "site_id_txt string")
+    texts = F.split(F.lit("\n".join(str(s) for s in stores)), "\n")
+    return spark.range(1).select(F.explode(texts).alias("site_id_txt"))
 
 
 def tables_from(
@@ -67,11 +76,10 @@ def tables_from(
     """Tables read by name, for example ``tables_from(spark.table, site_list(spark, stores))``.
 
     ``names`` maps the field names of ``Tables`` to the names ``read`` understands; unnamed fields are
-    read under their own name. Name ``order_loyalty`` to read it too.
+    read under their own name. Name ``order_loyalty`` and ``customer_loyalty`` to read them too.
     """
     names = names or {}
     fields = ["loyal_fact", "fact", "touchpoint", "item", "calendar", "hierarchy"]
-    if "order_loyalty" in names:
-        fields.append("order_loyalty")
+    fields += [field for field in ("order_loyalty", "customer_loyalty") if field in names]
     frames = {field: read(names.get(field, field)) for field in fields}
     return Tables(listed_sites=listed_sites.select(F.col("site_id_txt").cast("string")), **frames)

@@ -9,6 +9,8 @@ from datetime import date, timedelta
 import duckdb
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 import check_sql
 from brandtrack import ReportParams, Tables
 from brandtrack.report import BrandReport
@@ -46,11 +48,18 @@ def calendar_rows(first: date, last: date):
 
 def as_frames(spark, rows: dict, loyalty_on_order: bool = False):
     frames = {name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()}
-    frames["loyal_fact"] = frames["fact"]
+    loyal = rows.get("loyal_fact", rows["fact"])
+    frames["loyal_fact"] = spark.createDataFrame(loyal, SCHEMAS["fact"])
     if loyalty_on_order:
         code = "cnsmr_id_typ_loy_cd"
-        frames["order_loyalty"] = frames["fact"].select("ord_event_key", code).distinct()
-        frames["loyal_fact"] = frames["fact"].drop(code)
+        header = frames["loyal_fact"].select("ord_event_key", code)  # orders repeat
+        frames["order_loyalty"] = header
+        frames["loyal_fact"] = frames["loyal_fact"].drop(code)
+    if loyalty_on_order == "customer":
+        customer = F.col("ord_event_key") % 40  # codes go by order modulo 4
+        frames["order_loyalty"] = header.select("ord_event_key", customer.alias("cnsmr_key")).distinct()
+        coded = header.select(customer.alias("cnsmr_key"), code).groupBy("cnsmr_key")
+        frames["customer_loyalty"] = coded.agg(F.max_by(code, F.col(code) == "LOYL").alias(code))
     return Tables(**frames)
 
 
@@ -88,8 +97,12 @@ def duck(rows: dict) -> duckdb.DuckDBPyConnection:
     con.execute("CREATE VIEW fg_store AS SELECT site_id_txt AS site FROM listed_sites_rows")
     con.execute("""CREATE VIEW hierarchy AS SELECT trade_item_key, trade_item_hier_l3_cd AS l3_cd,
         trade_item_hier_l2_cd AS l2_cd FROM hierarchy_rows""")
-    con.execute("""CREATE VIEW fact AS SELECT f.*, cnsmr_id_typ_loy_cd AS loyalty, cal_dt,
-        cal_sat_wk_ending_dt AS week_end FROM fact_rows f JOIN calendar_rows ON ord_date_key = date_key""")
+    columns = [c.strip().split(" ") for c in SCHEMAS["fact"].split(", ")]
+    loyal = rows.get("loyal_fact", rows["fact"])
+    con.register("loyal_rows", pa.table({c: _column(loyal, i, kinds[k]) for i, (c, k) in enumerate(columns)}))
+    for view, source in (("loyal_view", "loyal_rows"), ("other_view", "fact_rows")):
+        con.execute(f"""CREATE VIEW {view} AS SELECT f.*, cnsmr_id_typ_loy_cd AS loyalty, cal_dt,
+            cal_sat_wk_ending_dt AS week_end FROM {source} f JOIN calendar_rows ON ord_date_key = date_key""")
     return con
 
 

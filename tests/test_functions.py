@@ -41,11 +41,17 @@ def test_saturdays_of_an_empty_period(spark):
 
 def test_codes_read_from_text(spark):
     texts = {"12": 12, "12.0": 12, " 7 ": 7, "n/a": None, "NaN": None, "": None, None: None}
-    texts["4119000123"] = 4119000123
+    texts |= {"4119000123": 4119000123, "12345678901234567": 12345678901234567, "-3": -3, "7.": 7}
+    texts |= {"12.7": None, "28.5": None, "12d": None, "0x1p3": None, "123456789012345678901": None}
     for text, code in texts.items():
         assert one(spark, to_code(F.lit(text).cast("string"))) == code
 
 
+def test_codes_that_do_not_fit_are_unknown(spark):
+    assert one(spark, to_code(F.lit("99999999999"), "int")) is None
+    assert one(spark, to_code(F.lit("3.0"), "int")) == 3
+
+
 def test_share_of_nothing_is_null(spark):
     assert one(spark, share(F.lit(1), F.lit(4))) == 0.25
     assert one(spark, share(F.lit(None), F.lit(4))) == 0.0

@@ -150,6 +150,14 @@ def test_trend_fills_weeks_and_keeps_sums(made):
     assert sum(r.cat_sales for r in series) == 160
 
 
+def test_trend_is_in_order_of_weeks(made, spark):
+    rows = [loyal(BEFORE, old=30, cat=60), loyal(W1, new=10, cat=40)]
+    weeks, header, _ = made(rows, [], groups=((31, date(2001, 3, 2)), (30, date(2001, 1, 5))))
+    shown = trend.weekly_trend(weeks.repartition(7), header.repartition(5)).collect()
+    places = [(r.grpnum, ("SR", "PR", "FG").index(r.banner), r.week_end) for r in shown]
+    assert places == sorted(places) and len(places) > 60
+
+
 def test_group_launched_after_the_stop_date_has_no_trend(made):
     weeks, header, parts = made([], [], groups=((30, date(2002, 2, 2)),))
     assert trend.weekly_trend(weeks, header).count() == 0
@@ -160,11 +168,12 @@ def test_summary_and_formatted_table(made):
     rows = [loyal(YAGO, old_ly=1225, cat_ly=10000), loyal(W1, new=1, cat=8)]
     _, header, parts = made(rows, [])
     rated = metrics.rated(parts)
-    row = summary.summary(metrics.total_metrics(rated), header).first()
+    groups = header.select("grpnum", "division")
+    row = summary.summary(metrics.total_metrics(rated), header, groups).first()
     assert (row.division, row.productname, row.grp) == ("Dairy", "Milk", 30)
     assert row.avg_brand_share == 0.125 and row.avg_brand_share_yago == 0.1225
     assert row.avg_brand_share_newold_u == 0.125
-    table = summary.key_metrics_table(metrics.key_metrics(rated), header)
+    table = summary.key_metrics_table(metrics.key_metrics(rated), groups)
     lines = table.collect()
     assert [r.banner for r in lines] == ["SR", "PR", "FG", "Total"]
     assert lines[0].old_sales_share_yago == "12.2%"
