@@ -45,9 +45,9 @@ HOT = 64
 #: Ids up to this number are broadcast to the documents.
 ID_BOUND = 1_000_000
 #: The cost of a comparison in signatures, the share of sets that have text in common by chance, and how much.
-COMPARE, RELATED, CHANCE = 2.0, 0.02, 0.3
+COMPARE, RELATED, CHANCE = 0.1, 0.02, 0.3
 #: Signatures that a task packs at once, that a bucket holds about, and that a task of the next step holds.
-PACK, PER_BUCKET, HELD = 500_000, 250_000, 1_500_000
+PACK, PER_BUCKET, HELD = 250_000, 250_000, 1_500_000
 #: Rows of one signature that are held.
 HELD_EACH = 1024
 #: Sets of one signature that are compared with each other in one step; more are cut into blocks of about so many.
@@ -77,7 +77,7 @@ class NgramSets:
     than ``n`` words the whole sequence is the only member.
     """
 
-    def __init__(self, n: int, known: int = 200_000):
+    def __init__(self, n: int, known: int = 100_000):
         self.n, self.known, self.hashes = n, known, _WordHashes()
 
     def of(self, text: str) -> np.ndarray:
@@ -118,16 +118,19 @@ class Alike:
         return total * (self.den - self.num) // (self.den + self.num)
 
     def bands(self) -> list[int]:
-        """The least size of each band: a set can only be alike to sets of its own and the next bands' sizes."""
+        """The least size of each band: a set can only be alike to sets of its own and the next bands' sizes.
+
+        A band is as wide as two times the largest ratio of sizes, in which fewer sets are cut by two schemes.
+        """
         lows = [1]
         while len(lows) < MOST_BANDS and lows[-1] < 1 << 40:
-            lows.append(lows[-1] * self.den // self.num + 1)
+            lows.append(lows[-1] * self.den**2 // self.num**2 + 1)
         return lows
 
     def scheme(self, band: int, n_sets: int) -> Scheme | None:
         """The cheapest cut for a band; None where only equal sets are alike."""
         lows = self.bands()
-        low, high = lows[band], lows[band] * self.den // self.num
+        low, high = lows[band], lows[band] * self.den**2 // self.num**2
         differ = self.differ(2 * high)
         if differ == 0:
             return None
@@ -510,7 +513,7 @@ class _Join:
         each = sum(n * (schemes[k].exact + schemes[k].loose) for b, n in sizes.items() for k in (b, b + 1) if k in schemes)
         n_buckets = max(64, each // PER_BUCKET)
         packed = texts.mapInPandas(_emitted(self.alike, schemes, n_buckets), "bucket long, signatures binary, ids binary")
-        n_parts = max(int(self.work.spark.conf.get("spark.sql.shuffle.partitions")), n_buckets // 4)
+        n_parts = max(int(self.work.spark.conf.get("spark.sql.shuffle.partitions")), n_buckets)
         rows = packed.repartition(n_parts, "bucket").mapInPandas(_several, "signature long, id long, n long")
         if not schemes:
             return rows.select("signature", "id")
