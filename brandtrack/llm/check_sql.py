@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, mixing, quality_rules
+from . import chat_format, mixing, quality_rules, sharding
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -165,8 +165,93 @@ from placed join p using (pair_id)
 group by pair_id, piece
 """
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+OP2 = rf"""
+with recursive d as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{LOWER.upper()}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w
+    from documents
+),
+s as (
+    select distinct doc_id, unnest(case
+        when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
+    from d
+),
+sizes as (select doc_id, count(*) as n from s group by doc_id),
+common as (
+    select a.doc_id as x, b.doc_id as y, count(*) as c
+    from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+),
+links as (
+    select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+    where 100 * c >= 90 * (p.n + q.n - c)
+),
+steps as (select x, y from links union all select y, x from links),
+reached as (
+    select doc_id, doc_id as other from d
+    union
+    select r.doc_id, y from reached r join steps on x = r.other
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id
+from d left join sizes using (doc_id)
+    join (select doc_id, min(other) as component_id from reached group by doc_id) using (doc_id)
+"""
+
+
+def _crc_table() -> list[int]:
+    """The table of the usual CRC-32, from its polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+def _draw(node: sharding.Node) -> str:
+    digits = f"substr(md5(doc_id || ':{node.name}'), 1, 13)"
+    return f"-ln((('0x' || {digits})::bigint + 0.5) / {1 << 52}::double) / {float(node.weight)}::double"
+
+
+def _descend(node: sharding.Node) -> str:
+    """The shard of a document by walking down: at each node the child with the least draw."""
+    if not node.children:
+        return str(node.shard)
+    if len(node.children) == 1:
+        return _descend(node.children[0])
+    least = f"least({', '.join(_draw(c) for c in node.children)})"
+    return "case " + " ".join(f"when {_draw(c)} = {least} then {_descend(c)}" for c in node.children) + " end"
+
+
+TREE = sharding.even_tree(8)
+OP9 = f"""
+with d as (
+    select doc_id, coalesce(text, '') as text,
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..') as pairs,
+        {_descend(TREE)} as shard, {_descend(sharding.grow(TREE))} as grown_shard,
+        ('0x' || substr(md5('slot:' || doc_id), 1, 8))::bigint % {sharding.SLICES} as slice
+    from documents
+),
+c as (
+    select *, strlen(text) + 1 as size,
+        xor(4294967295, list_reduce(
+            list_transform(pairs, lambda p: ('0x' || p)::bigint),
+            lambda c, b: xor(c >> 8, ({_crc_table()}::bigint[])[(xor(c, b) & 255) + 1]),
+            4294967295::bigint)) as text_crc32
+    from d
+)
+select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_crc32, 'key' as law,
+    cast(shard as integer) as shard,
+    row_number() over (partition by shard order by slice, doc_id, text_crc32, size) - 1 as slot,
+    cast(grown_shard as integer) as grown_shard
+from c
+"""
+
 CHECK_SQL = {
+    "op2_ngram_join": OP2,
     "op3_quality_rules": OP3,
     "op4_mix_sources": mix_sql(mixing.PRODUCTION),
     "op8_chat_format": OP8,
+    "op9_shards": OP9,
 }

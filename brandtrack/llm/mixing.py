@@ -24,7 +24,7 @@ from .tables import Workspace
 
 LEVELS = ("domain", "lang", "source")
 #: Leading hex digits of the order key that make a bucket of a leaf's epoch.
-DIGITS = 4
+DIGITS = 3
 #: Leaves up to this number are broadcast to the documents.
 LEAF_BOUND = 100_000
 NONE = "(none)"
@@ -124,9 +124,8 @@ def share_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """``leaves`` (the three levels and ``tokens``) with ``budget``, ``epochs`` whole ones and ``rest`` of the next."""
     capped = leaves.withColumn("cap", F.col("tokens") * mix.max_epochs)
-    total = capped.agg(
-        F.expr(f"cast(sum(tokens) * {mix.share_num} div {mix.share_den} as bigint)").alias("parent_budget")
-    )
+    share = F.expr(f"cast(sum(tokens) * {mix.share_num} div {mix.share_den} as bigint)")
+    total = capped.agg(share.alias("budget"))
     done: DataFrame | None = None
     for depth, name in enumerate(LEVELS):
         path = list(LEVELS[: depth + 1])
@@ -134,7 +133,7 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
         nodes = capped.groupBy(*path).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
         weighed = nodes.withColumn("weight", _weight(mix, tuple(path)))
         if done is None:
-            above = weighed.join(F.broadcast(total))  # one row
+            above = weighed.withColumn("parent_budget", total.scalar())
         else:
             above = weighed.join(done.withColumnRenamed("budget", "parent_budget"), parent)
         shared = share_out(above, parent, name)
