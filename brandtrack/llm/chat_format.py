@@ -74,23 +74,26 @@ def format_pairs(sided: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    pieces = known.groupBy("pair_id", F.floor(F.col("turn") / PIECE).cast("long").alias("piece")).agg(
-        F.min(F.when(F.col("chosen"), F.col("conv_id"))).alias("chosen_id"),
-        F.min(F.when(~F.col("chosen"), F.col("conv_id"))).alias("rejected_id"),
+    piece = F.floor(F.col("turn") / PIECE).cast("long").alias("piece")
+    pieces = known.groupBy("pair_id", piece).agg(
         F.array_sort(F.collect_set(F.when(F.col("chosen"), turn))).alias("_chosen"),
         F.array_sort(F.collect_set(F.when(~F.col("chosen"), turn))).alias("_rejected"),
     )
-    differ = F.expr(
-        """least(array_min(transform(array_except(_chosen, _rejected), x -> x.turn)),
-                 array_min(transform(array_except(_rejected, _chosen), x -> x.turn)))"""
+    # where the sides part, from digests of the turns: texts are shuffled once, to their pieces
+    said = F.md5(F.to_json(F.struct(turn["role"].alias("role"), turn["text"].alias("text"))))
+    slim = known.select("pair_id", piece, "chosen", "conv_id", "turn", said.alias("_said"))
+    once = slim.groupBy("pair_id", "piece", "turn", "_said").agg(
+        (F.max(F.col("chosen").cast("int")) - F.min(F.col("chosen").cast("int")) + 1).alias("_sides"),
+        F.min(F.when(F.col("chosen"), F.col("conv_id"))).alias("_chosen_id"),
+        F.min(F.when(~F.col("chosen"), F.col("conv_id"))).alias("_rejected_id"),
     )
-    marked = pieces.withColumn("_differ", differ)
-    pairs = marked.groupBy("pair_id").agg(
-        F.min("_differ").alias("_from"),
-        F.min("chosen_id").alias("_chosen_id"),
-        F.min("rejected_id").alias("_rejected_id"),
+    pairs = once.groupBy("pair_id").agg(
+        F.min(F.when(F.col("_sides") == 1, F.col("turn"))).alias("_from"),
+        F.min("_chosen_id").alias("_chosen_id"),
+        F.min("_rejected_id").alias("_rejected_id"),
     )
-    whole = marked.join(pairs, "pair_id").withColumns(
+    placed = once.select("pair_id", "piece").distinct().join(pairs, "pair_id")
+    whole = pieces.join(placed, ["pair_id", "piece"]).withColumns(
         {
             "_prompt": F.expr("filter(_chosen, x -> _from is null or x.turn < _from)"),
             "_chosen": F.expr("filter(_chosen, x -> x.turn >= _from)"),
