@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.publish import publish, shared_folder
+from ..sources.publish import publish, remove, shared_folder
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -14,12 +17,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 
 
 class Workspace:
-    """A folder of one run under the cluster's shared checkpoint folder."""
+    """A folder of one run under the cluster's shared checkpoint folder.
+
+    Lazy results read from it, so it stays until ``close``, or the end of the ``scratch`` block it was made in.
+    """
+
+    _made: list[list[Workspace]] = []
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = shared_folder(spark)
+        if self._made:
+            self._made[-1].append(self)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return it as read back: lineage ends here and lost tasks restart from the files."""
         return publish(df, f"{self.folder}/{name}")
+
+    def close(self) -> None:
+        """Remove what was written."""
+        remove(self.spark, self.folder)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Remove the workspaces made inside at the end: write the results that are wanted before, elsewhere."""
+    Workspace._made.append([])
+    try:
+        yield
+    finally:
+        for work in Workspace._made.pop():
+            work.close()

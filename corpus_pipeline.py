@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brandtrack.llm import decontamination, mixing, ngram_join, quality_classifier, sharding
-from brandtrack.llm.tables import Workspace, read_table
+from brandtrack.llm.tables import Workspace, read_table, scratch
 
 #: Every leaf may be used once, and four fifths of the tokens are wanted.
 MIX = mixing.Mix(
@@ -60,9 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage wrote on its way goes when its result is written."""
     work = Workspace(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = work.keep(stage(spark, docs, sf_dir), name)
+        with scratch():
+            docs = work.keep(stage(spark, docs, sf_dir), name)
     return docs

@@ -84,6 +84,15 @@ def test_run_applies_all_stages_to_documents(spark):
     assert {"doc_id", "text", "shard", "slot", "grown_shard"} <= set(got.columns)
 
 
+def test_a_run_leaves_only_the_results_of_its_stages(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    rows = cp.run(spark, SF)
+    (folder,) = set(root.iterdir()) - before
+    assert {p.name for p in folder.iterdir()} == {name for name, _ in cp.STAGES}
+    assert rows.count() > 0
+
+
 @pytest.mark.parametrize("name", [name for name, _ in cp.STAGES])
 def test_stages_take_empty_tables(spark, name):
     docs = read_table(spark, SF, "documents").limit(0)
