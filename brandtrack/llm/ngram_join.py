@@ -39,7 +39,8 @@ from .tables import Workspace
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 S17, S29, S32, S56 = np.uint64(17), np.uint64(29), np.uint64(32), np.uint64(56)
 #: Least number of parts of a sketch.
-LEAST_SKETCH = 64
+LEAST_SKETCH = 256
+PARTS = 4
 #: A signature of more sets than this is left out where a set has enough others.
 HOT = 64
 #: Ids up to this number are broadcast to the documents.
@@ -170,11 +171,11 @@ def signatures(members: np.ndarray, scheme: Scheme) -> np.ndarray:
 def sketch(members: np.ndarray) -> bytes:
     """A bit for each part of the universe, whether an odd number of members lies in it.
 
-    There are at least as many parts as members, and a power of two of them. Sets differ in at least as many members
+    There are at least ``PARTS`` times as many parts as members, and a power of two of them, so that few members meet. Sets differ in at least as many members
     as bits. Halves combine by exclusive or into the sketch of half as many parts, so sketches of different lengths
     can be compared.
     """
-    parts = max(LEAST_SKETCH, 1 << int(members.size - 1).bit_length()) if members.size else LEAST_SKETCH
+    parts = max(LEAST_SKETCH, PARTS << int(members.size - 1).bit_length()) if members.size else LEAST_SKETCH
     counts = np.bincount(((members >> S29) % np.uint64(parts)).astype(np.int64), minlength=parts)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
