@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import Workspace
+from .tables import Workspace, small_batches
 
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 S17, S29, S32, S56 = np.uint64(17), np.uint64(29), np.uint64(32), np.uint64(56)
@@ -397,7 +397,8 @@ class _Join:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.step += 1
-        return self.work.keep(df, f"{self.step:03}-{name}")
+        with small_batches(self.work.spark):  # whole texts, of which some are very long
+            return self.work.keep(df, f"{self.step:03}-{name}")
 
     def of_ids(self, ids: DataFrame, n_ids: int) -> DataFrame:
         """The documents with these ids."""

@@ -39,6 +39,19 @@ class Workspace:
         remove(self.spark, self.folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """Hand tasks' Python at most so many rows at a time while a table is written; the session's setting returns."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) < rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def scratch() -> Iterator[None]:
     """Remove the workspaces made inside at the end: write the results that are wanted before, elsewhere."""
