@@ -40,7 +40,7 @@ class Workspace:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
     """Hand tasks' Python at most so many rows at a time while a table is written; the session's setting returns."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
