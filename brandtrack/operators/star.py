@@ -144,12 +144,13 @@ class Star:
         return rows.filter(F.col("cal_dt") >= F.date_sub("convdate", year))
 
     def _of_loyal_orders(self, rows: DataFrame) -> DataFrame:
-        """The matched lines whose order is a loyalty order; the order header is shuffled once.
+        """The matched lines whose order is a loyalty order, which it is if any of its header rows is.
 
         Lines and header may both be huge, so neither is repeated or broadcast: a hot order is split at run
         time by the adaptive skew join. A semi join, so that a header with repeated orders repeats no line. Its
         key is made to depend on the day, which every line has by now, because a plain semi join would be
-        moved below the lookup joins and shuffle the lines that they are about to drop.
+        moved below the lookup joins and shuffle the lines that they are about to drop. Customers cut the header
+        first, by broadcast or, beyond the bound, by a salted join that shuffles the header once more.
         """
         header = self.tables.order_loyalty
         if "ord_date_key" in header.columns:
@@ -160,13 +161,10 @@ class Star:
             loyal = self._loyal(header).select(F.col("ord_event_key").alias("order_key"))
             return rows.join(loyal, key == F.col("order_key"), "left_semi")
         loyal = self._loyal(customers).select("cnsmr_key").distinct()
-        if self.customers.fits:
-            loyal = header.join(F.broadcast(loyal), "cnsmr_key").select(F.col("ord_event_key").alias("order_key"))
-            return rows.join(loyal, key == F.col("order_key"), "left_semi")
-        one = header.groupBy(F.col("ord_event_key").alias("order_key")).agg(F.min("cnsmr_key").alias("cnsmr_key"))
-        bought = rows.join(one, key == F.col("order_key")).drop("order_key")
-        lookup = Lookup(loyal, self.customers.rows, False)
-        return attach(bought, lookup, ["cnsmr_key"], self.params.salts).drop("cnsmr_key")
+        lookup = Lookup(loyal, self.customers.rows, self.customers.fits)
+        orders = attach(header, lookup, ["cnsmr_key"], self.params.salts, "left_semi")
+        loyal = orders.select(F.col("ord_event_key").alias("order_key"))
+        return rows.join(loyal, key == F.col("order_key"), "left_semi")
 
     def _loyal(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("cnsmr_id_typ_loy_cd") == self.params.loyalty_code)

@@ -34,9 +34,9 @@ class Tables:
     (``cnsmr_id_typ_loy_cd``) or, where the order header holds it, a table ``order_loyalty`` of
     ``(ord_event_key, cnsmr_id_typ_loy_cd)``; that join then comes last, on the rows that are left. Where the
     customer holds the code, ``order_loyalty`` is ``(ord_event_key, cnsmr_key)`` and ``customer_loyalty``
-    ``(cnsmr_key, cnsmr_id_typ_loy_cd)``. An order is a loyalty order if any of its header rows is; beyond the
-    broadcast bound of customers an order has one customer, the least. Give the header ``ord_date_key`` only if
-    it is the date key of all the order's lines: it is then cut to the report's days at its scan.
+    ``(cnsmr_key, cnsmr_id_typ_loy_cd)``. An order is a loyalty order if any of its header rows is. Give the
+    header ``ord_date_key`` only if it is the date key of all the order's lines: it is then cut to the report's
+    days at its scan.
     """
 
     loyal_fact: DataFrame
