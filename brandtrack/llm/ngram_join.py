@@ -588,21 +588,44 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, alike: Alike = NEAR_DUPLICATES) -> DataFrame:
-    """The rows of one document, the one with the least id, of each component; rows with a null id stay.
+    """One row of each component of texts: of the least id in it, and of that id's texts there the least.
 
-    If an id repeats, one of its rows stays, the one whose text is least.
+    A text is a document, not its id: unlike texts of one id are compared and kept each. Rows with a null id and rows
+    without words stay as they are. The texts of an id that has several are told apart by 64-bit hashes.
     """
     work = Workspace(docs.sparkSession)
-    found = work.keep(join_components(docs, alike), "components")
-    kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    known = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    several = known.groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least <> most")
+    several = work.keep(several.select(F.col("doc_id").alias("_several")), "several")
+    n_several = several.count()
+    nodes = docs.withColumn("_node", F.col("doc_id"))
+    if n_several:
+        side = F.broadcast(several) if n_several <= ID_BOUND else several
+        own = F.when(F.col("_several").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "text"))
+        nodes = docs.join(side, F.col("doc_id") == F.col("_several"), "left").withColumn("_node", own)
+    found = work.keep(join_components(nodes.select(F.col("_node").alias("doc_id"), "text"), alike), "components")
+    per_node = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("node"), "component_id", "n_shingles")
+    per_node = work.keep(per_node.agg(F.count(F.lit(1)).alias("n")), "nodes")
+    first = F.col("node") == F.col("component_id")
+    if n_several:
+        named = nodes.filter("_several is not null").select(F.col("_node").alias("node"), "doc_id", "text")
+        named = named.dropDuplicates(["node"])
+        with small_batches(work.spark):
+            ids = work.keep(named.select("node", "doc_id"), "ids")
+        worded = per_node.filter("n_shingles > 0").join(ids, "node", "left")
+        worded = worded.withColumn("doc_id", F.coalesce("doc_id", "node"))
+        least = worded.groupBy("component_id").agg(F.min("doc_id").alias("doc_id"))
+        worded = worded.join(least, ["component_id", "doc_id"]).join(named.select("node", "text"), "node", "left")
+        best = worded.groupBy("component_id").agg(F.min_by("node", F.struct("text")).alias("node")).select("node")
+        per_node = per_node.join(work.keep(best, "best").withColumn("best", F.lit(True)), "node", "left")
+        first = F.col("best").isNotNull()
+    again = (F.col("n_shingles") > 0) & (F.col("n") > 1)
+    kept = per_node.filter((F.col("n_shingles") == 0) | first).select(F.col("node").alias("_kept"), again.alias("_again"))
     kept = work.keep(kept, "kept")
-    n, rows = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    ids = kept.select(F.col("doc_id").alias("_kept_id"))
-    side = F.broadcast(ids) if n <= ID_BOUND else ids
-    one = docs.join(side, F.col("doc_id") == F.col("_kept_id"), "left")
-    one = one.filter("doc_id is null or _kept_id is not null").drop("_kept_id")
-    if rows == n:
-        return one
-    place = Window.partitionBy("doc_id").orderBy("text")
-    ranked = one.withColumn("_place", F.when(F.col("doc_id").isNotNull(), F.row_number().over(place)))
-    return ranked.filter("_place is null or _place = 1").drop("_place")
+    n, repeated = kept.agg(F.count(F.lit(1)), F.count_if("_again")).first()
+    side = F.broadcast(kept) if n <= ID_BOUND else kept
+    one = nodes.join(side, F.col("_node") == F.col("_kept"), "left").filter("doc_id is null or _kept is not null")
+    if repeated:
+        again = F.coalesce("_again", F.lit(False))
+        one = one.filter(~again).union(one.filter(again).dropDuplicates(["_node"]))
+    return one.select(*docs.columns)
