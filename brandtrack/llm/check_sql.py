@@ -248,10 +248,33 @@ select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_
 from c
 """
 
+OP12 = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+lines as (
+    select r, doc_id, pos, split[pos] as line,
+        translate(trim(split[pos], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from (select r, doc_id, string_split(text, chr(10)) as split from d), unnest(range(1, len(split) + 1)) as t(pos)
+),
+shared as (
+    select key, max(doc_id) as largest
+    from lines where length(key) >= 20
+    group by key having count(distinct doc_id) >= 3
+),
+marked as (
+    select r, doc_id, pos, line, coalesce(doc_id <> largest, false) as goes from lines left join shared using (key)
+)
+select doc_id, count(*) as n_lines, cast(count(*) filter (where goes) as bigint) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not goes), '')) as kept_sha256
+from marked
+group by r, doc_id
+"""
+
 CHECK_SQL = {
     "op2_ngram_join": OP2,
     "op3_quality_rules": OP3,
     "op4_mix_sources": mix_sql(mixing.PRODUCTION),
     "op8_chat_format": OP8,
     "op9_shards": OP9,
+    "op12_line_dedup": OP12,
 }

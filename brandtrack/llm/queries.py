@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     chat_format,
     decontamination,
+    line_dedup,
     mixing,
     ngram_join,
     quality_classifier,
@@ -73,6 +74,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -85,6 +90,7 @@ def queries() -> dict[str, Query]:
         "op8_chat_format": op8_chat_format,
         "op9_shards": op9_shards,
         "op10_secret_scan": op10_secret_scan,
+        "op12_line_dedup": op12_line_dedup,
     }
 
 
