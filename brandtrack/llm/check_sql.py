@@ -270,6 +270,60 @@ from marked
 group by r, doc_id
 """
 
+OP13 = f"""
+with said as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null
+),
+t as (
+    select conv_id, strlen(text) as bytes, m,
+        row_number() over (partition by conv_id order by turn nulls first, substr(m, 1, 30)) - 1 as i
+    from (select *, md5(length(role) || ':' || role || text) as m from said)
+),
+ids as (
+    select c, c - c % 5 as family, xor(4294967295, list_reduce(
+            list_transform(regexp_extract_all(hex(encode(cast(c as varchar))), '..'), lambda p: ('0x' || p)::bigint),
+            lambda s, b: xor(s >> 8, ({_crc_table()}::bigint[])[(xor(s, b) & 255) + 1]),
+            4294967295::bigint)) % 9 as h
+    from (select distinct conv_id as c from t)
+),
+turns as (
+    select c, m, bytes, row_number() over (partition by c order by own, i) as d
+    from (
+        select c, 0 as own, i, m, bytes from ids join t on t.conv_id = family and i < h
+        union all
+        select c, 1, i, m, bytes from ids join t on t.conv_id = c and i >= h
+    )
+),
+paths as (
+    select c, 0 as d, 0 as bytes, '' as path from ids
+    union all
+    select c, d, bytes, string_agg(m, ',') over (partition by c order by d) from turns
+),
+lengths as (select c, max(d) as n from paths group by c),
+nodes as (
+    select path, any_value(d) as depth, min(c) as conv_id, count(*) as n_convs, any_value(bytes) as bytes,
+        coalesce(string_agg(c, ',' order by c) filter (where d = n), '') as ends
+    from paths join lengths using (c)
+    group by path
+),
+below as (  -- each node's parent
+    select n.path, n.conv_id, n.depth, n.n_convs, n.bytes, p.path as parent
+    from nodes n left join paths p on p.c = n.conv_id and p.d = n.depth - 1
+),
+children as (select parent as path, count(*) as n_children from below where parent is not null group by parent),
+subtrees as (
+    select p.path, sum((b.n_convs - 1) * b.bytes) as saved, count(*) filter (where k.path is null) as n_leaves
+    from below b left join children k on k.path = b.path join paths p on p.c = b.conv_id and p.d <= b.depth
+    group by p.path
+)
+select n.conv_id, cast(n.depth as bigint) as depth, u.conv_id as parent_conv_id, n.n_convs,
+    coalesce(n_children, 0) as n_children, cast(n_leaves as bigint) as n_leaves,
+    cast(saved as bigint) as saved_tokens, sha256(n.ends) as ends_sha256
+from nodes n join below b on b.path = n.path join subtrees s on s.path = n.path
+    left join children k on k.path = n.path left join nodes u on u.path = b.parent
+"""
+
 CHECK_SQL = {
     "op2_ngram_join": OP2,
     "op3_quality_rules": OP3,
@@ -277,4 +331,5 @@ CHECK_SQL = {
     "op8_chat_format": OP8,
     "op9_shards": OP9,
     "op12_line_dedup": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -12,6 +12,7 @@ from . import (
     line_dedup,
     mixing,
     ngram_join,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -78,6 +79,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -91,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op9_shards": op9_shards,
         "op10_secret_scan": op10_secret_scan,
         "op12_line_dedup": op12_line_dedup,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
