@@ -248,6 +248,31 @@ select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_
 from c
 """
 
+OP11 = """
+with e as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as vec
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and not list_contains(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false)
+),
+scored as (
+    select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+        list_inner_product(a.vec, r.vec)::bigint as score
+    from e a join e r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+    cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10
+"""
+
 OP12 = r"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
 lines as (
@@ -330,6 +355,7 @@ CHECK_SQL = {
     "op4_mix_sources": mix_sql(mixing.PRODUCTION),
     "op8_chat_format": OP8,
     "op9_shards": OP9,
+    "op11_hard_negatives": OP11,
     "op12_line_dedup": OP12,
     "op13_prefix_trie": OP13,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     chat_format,
     decontamination,
+    hard_negatives,
     line_dedup,
     mixing,
     ngram_join,
@@ -75,6 +76,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -95,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_chat_format": op8_chat_format,
         "op9_shards": op9_shards,
         "op10_secret_scan": op10_secret_scan,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_line_dedup": op12_line_dedup,
         "op13_prefix_trie": op13_prefix_trie,
     }
