@@ -32,8 +32,8 @@ from .tables import Workspace
 
 #: Rows the tree is fitted on, drawn by a hash; split points of a node; sample rows that make a leaf.
 SAMPLE = 8192
-FANOUT = 12
-LEAF = 96
+FANOUT = 24
+LEAF = 24
 #: Rows of a leaf that are scanned together, scores held at once, and anchors routed at once.
 BLOCK_ROWS = 16_384
 SCORES = 2_000_000

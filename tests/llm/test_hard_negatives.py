@@ -51,7 +51,7 @@ def random_rows(seed, n=700, dim=6, labels=10):
     return rows
 
 
-@pytest.mark.parametrize("seed, leaf, block", [(1, 20, 64), (2, 96, 16_384)])
+@pytest.mark.parametrize("seed, leaf, block", [(1, 20, 64), (2, 24, 16_384)])
 def test_all_windows_equal_brute_force(spark, monkeypatch, seed, leaf, block):
     monkeypatch.setattr(hn, "LEAF", leaf)
     monkeypatch.setattr(hn, "BLOCK_ROWS", block)
