@@ -16,9 +16,11 @@ def _sum_copies(name: str, counted: str, condition: str, value: str, copies: str
     """Sum over the lines that are ``counted`` at all: the value as often as its copies say where the
     condition holds, else 0. Without any such line, or with unknown values only, it is NULL.
 
+    A line that counts more often than its copies say adds a 0 for each other time, so an unknown value is 0 there.
     Money keeps its cents exactly; units are whole.
     """
-    met = f"CASE WHEN {condition} AND {copies} > 0 THEN {value} * {copies} ELSE 0 END"
+    taken = f"CASE WHEN {counted} > {copies} THEN coalesce({value} * {copies}, 0) ELSE {value} * {copies} END"
+    met = f"CASE WHEN {condition} AND {copies} > 0 THEN {taken} ELSE 0 END"
     kind = "decimal(38,2)" if value == "purch_amt" else "bigint"
     total = f"CAST(sum(CASE WHEN {counted} > 0 THEN {met} END) AS {kind})"
     return F.expr(total).alias(name)

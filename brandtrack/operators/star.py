@@ -9,14 +9,17 @@ copies and the sums are multiplied by it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import INFERRED_YEAR_DAYS, PRE_LAUNCH_DAYS, YEAR_DAYS, ReportParams
 from ..sources.tables import Tables
-from .sizing import Lookup, attach, measure
+from .key_filter import key_filter, may_hold, n_words
+from .sizing import Lookup, attach, hot_keys, measure
 
 LINE_FACTS = ("purch_amt", "purch_qty")
 PULLS = ("loyal", "inferred")
@@ -102,70 +105,122 @@ def _stores_of(pull: str, stores: DataFrame) -> DataFrame:
     return stores.drop("is_loyal")
 
 
+def _spans_of(pull: str, items: DataFrame) -> DataFrame:
+    """The days on which an item counts for any group, one row an item.
+
+    A group's window runs from a year before its launch to the stop date. All windows end together, so their union is
+    one interval and its first day says all.
+    """
+    first = F.min(F.date_sub("convdate", _year(pull))).alias("first_day")
+    return items.groupBy("trade_item_key").agg(first)
+
+
+def _year(pull: str) -> int:
+    return YEAR_DAYS if pull == "loyal" else INFERRED_YEAR_DAYS
+
+
 @dataclass(frozen=True)
 class Star:
-    """The order lines of the report's days, and the lookups to join to them."""
+    """The order lines of the report's days, and the lookups to join to them.
+
+    ``keep`` writes a table of the run, once, and returns the written one.
+    """
 
     tables: Tables
     params: ReportParams
     days: Lookup
     day_keys: Column
     items: dict[str, Lookup]
+    spans: dict[str, Lookup]
     stores: dict[str, Lookup]
+    keep: Callable[[DataFrame, str], DataFrame]
     customers: Lookup | None = None
+    header_rows: int = 0
+
+    def matched(self, pull: str) -> DataFrame:
+        """The lines that count for some group, each once: of its item's days and of the pull's stores."""
+        salts = self.params.salts
+        rows = attach(self._fact(pull), self.days, ["ord_date_key"], salts)
+        rows = attach(rows, self.stores[pull], ["ord_touchpoint_key"], salts)
+        rows = attach(rows, self.spans[pull], ["trade_item_key"], salts)
+        return rows.filter(F.col("cal_dt") >= F.col("first_day")).drop("ord_date_key", "ord_touchpoint_key")
 
     def lines(self, pull: str, per_order: bool = False) -> DataFrame:
         """Order lines of one pull joined to its items, stores and days.
 
-        Without ``per_order`` lines may come summed by item, store flags and day. That happens where
+        Lines come to the groups last: each is joined to stores, days and orders once, however many groups it
+        counts for. Without ``per_order`` lines may come summed by item, store flags and day. That happens where
         the items exceed the broadcast bound: it leaves a hot item no more rows than there are days and
         flags, so the shuffled join that follows has no hot key.
         """
         salts, items = self.params.salts, self.items[pull]
-        rows = self._fact(pull)
-        if items.fits:
-            rows = attach(rows, items, ["trade_item_key"], salts)
-        else:
-            keys = Lookup(items.frame.select("trade_item_key").distinct(), items.rows, False)
-            rows = attach(rows, keys, ["trade_item_key"], salts, "left_semi")
-        rows = attach(rows, self.stores[pull], ["ord_touchpoint_key"], salts)
-        rows = attach(rows, self.days, ["ord_date_key"], salts)
+        rows = self.matched(pull)
         if pull == "loyal" and self.tables.order_loyalty is not None:
             rows = self._of_loyal_orders(rows)
-        if not items.fits:
-            if per_order:
-                rows = attach(rows, items, ["trade_item_key"], salts)
-            else:
-                facts = [F.sum(c).alias(c) for c in LINE_FACTS]
-                dropped = {"ord_event_key", "ord_touchpoint_key", "ord_date_key", *LINE_FACTS}
-                rows = rows.groupBy(*[c for c in rows.columns if c not in dropped]).agg(*facts)
-                rows = rows.join(items.frame, "trade_item_key")
-        year = YEAR_DAYS if pull == "loyal" else INFERRED_YEAR_DAYS
-        return rows.filter(F.col("cal_dt") >= F.date_sub("convdate", year))
+        rows = rows.drop("first_day")
+        if items.fits or per_order:
+            rows = attach(rows, items, ["trade_item_key"], salts)
+        else:
+            facts = [F.sum(c).alias(c) for c in LINE_FACTS]
+            dropped = {"ord_event_key", *LINE_FACTS}
+            rows = rows.groupBy(*[c for c in rows.columns if c not in dropped]).agg(*facts)
+            rows = rows.join(items.frame, "trade_item_key")
+        return rows.filter(F.col("cal_dt") >= F.date_sub("convdate", _year(pull)))
 
     def _of_loyal_orders(self, rows: DataFrame) -> DataFrame:
         """The matched lines whose order is a loyalty order, which it is if any of its header rows is.
 
         Lines and header may both be huge, so neither is repeated or broadcast: a hot order is split at run
-        time by the adaptive skew join. A semi join, so that a header with repeated orders repeats no line. Its
-        key is made to depend on the day, which every line has by now, because a plain semi join would be
-        moved below the lookup joins and shuffle the lines that they are about to drop. Customers cut the header
-        first, by broadcast or, beyond the bound, by a salted join that shuffles the header once more.
+        time by the adaptive skew join. A semi join, so that a header with repeated orders repeats no line. Where both
+        are stored in buckets of the order, it needs no shuffle. Else a header of more than ``filter_rows`` rows is
+        first cut to the orders of the matched lines, which are written for that: what it shuffles grows with
+        the matched orders and not with all orders. So it is where customers exceed the broadcast bound: the header's
+        rows are then shuffled to the customers, once, and only the loyal orders' keys move on to the lines.
         """
-        header = self.tables.order_loyalty
-        if "ord_date_key" in header.columns:
-            header = header.filter(self.day_keys)
-        key = F.when(F.col("cal_dt") <= F.lit(self.params.stop_date), F.col("ord_event_key"))
-        customers = self.tables.customer_loyalty
-        if customers is None:
-            loyal = self._loyal(header).select(F.col("ord_event_key").alias("order_key"))
-            return rows.join(loyal, key == F.col("order_key"), "left_semi")
-        loyal = self._loyal(customers).select("cnsmr_key").distinct()
-        lookup = Lookup(loyal, self.customers.rows, self.customers.fits)
-        orders = attach(header, lookup, ["cnsmr_key"], self.params.salts, "left_semi")
-        loyal = orders.select(F.col("ord_event_key").alias("order_key"))
+        if self.tables.bucketed_by_order and (self.customers is None or self.customers.fits):
+            orders = self._of_loyal_customers(self._header()).select("ord_event_key").distinct()
+            return rows.join(orders, "ord_event_key")  # no semi join: that would be moved below the lookups
+        if self.header_rows > self.params.filter_rows or (self.customers and not self.customers.fits):
+            return self.loyal_lines.join(self.loyal_orders, "ord_event_key", "left_semi")
+        # the key is made to depend on the item's days, which every line has by now, because a plain semi join would be
+        # moved below the lookup joins and shuffle the lines that they are about to drop
+        key = F.when(F.col("cal_dt") >= F.col("first_day"), F.col("ord_event_key"))
+        loyal = self._of_loyal_customers(self._header()).select(F.col("ord_event_key").alias("order_key"))
         return rows.join(loyal, key == F.col("order_key"), "left_semi")
 
+    @cached_property
+    def loyal_lines(self) -> DataFrame:
+        """The loyal pull's matched lines, of all orders, written."""
+        return self.keep(self.matched("loyal"), "loyal_lines")
+
+    @cached_property
+    def loyal_orders(self) -> DataFrame:
+        """The keys of loyalty orders, written; orders without a matched line are mostly left out."""
+        orders = self._of_loyal_customers(self.cut_header())
+        return self.keep(orders.select("ord_event_key"), "loyal_orders")
+
+    def cut_header(self) -> DataFrame:
+        """The header's rows of the report's days that may belong to a matched line.
+
+        The filter takes two bytes an order, ``params.filter_bytes`` at most; where that is too small for so many
+        orders, the header stays as it is.
+        """
+        orders = self.loyal_lines.agg(F.approx_count_distinct("ord_event_key", 0.02)).first()[0]
+        words = n_words(int(orders * 1.1) + 1, self.params.filter_bytes)
+        if words is None:
+            return self._header()
+        known = key_filter(self.loyal_lines.select("ord_event_key"), "ord_event_key", words)
+        return may_hold(self._header(), "ord_event_key", known, words)
+
+    def _header(self) -> DataFrame:
+        header = self.tables.order_loyalty
+        return header.filter(self.day_keys) if "ord_date_key" in header.columns else header
+
+    def _of_loyal_customers(self, header: DataFrame) -> DataFrame:
+        if self.customers is None:
+            return self._loyal(header)
+        return attach(header, self.customers, ["cnsmr_key"], self.params.salts, "left_semi")
+
     def _loyal(self, df: DataFrame) -> DataFrame:
         return df.filter(F.col("cnsmr_id_typ_loy_cd") == self.params.loyalty_code)
 
@@ -180,9 +235,13 @@ class Star:
         return fact.filter(self.day_keys).select(*columns, *LINE_FACTS)
 
 
-def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
+def plan_star(
+    tables: Tables, items: DataFrame, params: ReportParams, keep: Callable[[DataFrame, str], DataFrame]
+) -> Star:
     """Size each pull's lookups and find the report's days, in one job that returns a row for each.
 
+    Only where some lookup is too large to be broadcast, a second job reads its keys in the lines, for the hot ones.
+
     ``items`` should be a written table: it is read here and again by each pull. The first day and the
     range of date keys go back into the plan as literals, so that they reach the scan of the order
     lines. Keys travel as text: the literal then has the key's own type, whatever that is.
@@ -201,6 +260,8 @@ def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
     if tables.customer_loyalty is not None:
         coded = F.col("cnsmr_id_typ_loy_cd") == params.loyalty_code
         per_pull["customers"] = (tables.customer_loyalty.filter(coded).select("cnsmr_key").distinct(), {})
+    if tables.order_loyalty is not None:
+        per_pull["header"] = (tables.order_loyalty, {})
     sizes = measure(days=(in_period, span), **per_pull)
 
     days = tables.calendar.filter(day.between(F.lit(sizes["days"]["first"]).cast("date"), stop))
@@ -214,14 +275,48 @@ def plan_star(tables: Tables, items: DataFrame, params: ReportParams) -> Star:
         rows = sizes[name]["n"]
         return Lookup(frame, rows, rows <= params.broadcast_rows)
 
-    return Star(
+    star = Star(
         tables=tables,
         params=params,
         days=lookup("days", days),
         day_keys=F.col("ord_date_key").between(low, high),
         items={pull: lookup(f"items_{pull}", _items_of(pull, items)) for pull in PULLS},
+        spans={pull: lookup(f"items_{pull}", _spans_of(pull, _items_of(pull, items))) for pull in PULLS},
         stores={pull: lookup(f"stores_{pull}", _stores_of(pull, stores)) for pull in PULLS},
+        keep=keep,
         customers=lookup("customers", per_pull["customers"][0]) if "customers" in per_pull else None,
+        header_rows=sizes["header"]["n"] if "header" in sizes else 0,
+    )
+    return _with_hot_keys(star)
+
+
+def _with_hot_keys(star: Star) -> Star:
+    """The star with the hot keys of lookups that can't be broadcast, as the lines, or the header, have them."""
+    wanted, own = {}, {pull: star._fact(pull) for pull in PULLS}
+    for pull in PULLS:
+        if not star.items[pull].fits:
+            wanted[f"items_{pull}"] = (own[pull], "trade_item_key")
+        if not star.stores[pull].fits:
+            wanted[f"stores_{pull}"] = (own[pull], "ord_touchpoint_key")
+    if not star.days.fits:
+        wanted["days"] = (own["inferred"], "ord_date_key")
+    if star.customers and not star.customers.fits:
+        wanted["customers"] = (star._header(), "cnsmr_key")
+    if not wanted:
+        return star
+    hot = hot_keys(star.params.salts, **wanted)
+
+    def known(name: str, lookup: Lookup) -> Lookup:
+        return replace(lookup, hot=hot.get(name))
+
+    return replace(
+        star,
+        days=known("days", star.days),
+        customers=star.customers and known("customers", star.customers),
+        **{
+            field: {pull: known(f"{name}_{pull}", getattr(star, field)[pull]) for pull in PULLS}
+            for field, name in (("items", "items"), ("spans", "items"), ("stores", "stores"))
+        },
     )
 
 

@@ -26,7 +26,8 @@ class ReportParams:
     ``broadcast_rows`` is the most rows a lookup may have to be broadcast. All broadcast lookups hold
     fixed-width columns only (keys, dates, flags, a code of at most 20 digits), under 128 bytes a row,
     so the default bounds a broadcast at about 128 MB. Beyond it the same join runs shuffled, with
-    ``salts`` slots per key.
+    ``salts`` slots per hot key. An order header of more than ``filter_rows`` rows is cut to the matched lines' orders
+    by a filter of ``filter_bytes`` at most before it is shuffled.
     """
 
     stop_date: date
@@ -40,6 +41,8 @@ class ReportParams:
     source_label: str = "POS"
     broadcast_rows: int = 1_000_000
     salts: int = 16
+    filter_rows: int = 10_000_000
+    filter_bytes: int = 64 << 20
 
     @classmethod
     def for_week(cls, text: str, **overrides) -> "ReportParams":

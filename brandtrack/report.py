@@ -26,7 +26,9 @@ class BrandReport:
     """
 
     #: Names of the tables a run writes.
-    WRITTEN = ("conversion_list", "items", "loyal_weeks", "inferred_weeks", "category_upcs")
+    WRITTEN = (
+        "conversion_list", "items", "loyal_lines", "loyal_orders", "loyal_weeks", "inferred_weeks", "category_upcs",
+    )
 
     def __init__(
         self, tables: Tables, raw_list: DataFrame, params: ReportParams, folder: str | None = None
@@ -107,7 +109,7 @@ class BrandReport:
         """The order lines ready to be pulled, with the list and the report's items written once."""
         self.upload_list()
         items = report_items(self.conv, self.dated_category, self.tables, self.params)
-        return plan_star(self.tables, self.publish(items, "items"), self.params)
+        return plan_star(self.tables, self.publish(items, "items"), self.params, self.publish)
 
     @cached_property
     def loyal_weeks(self) -> DataFrame:

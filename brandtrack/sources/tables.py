@@ -36,7 +36,8 @@ class Tables:
     customer holds the code, ``order_loyalty`` is ``(ord_event_key, cnsmr_key)`` and ``customer_loyalty``
     ``(cnsmr_key, cnsmr_id_typ_loy_cd)``. An order is a loyalty order if any of its header rows is. Give the
     header ``ord_date_key`` only if it is the date key of all the order's lines: it is then cut to the report's
-    days at its scan.
+    days at its scan. ``bucketed_by_order`` tells that ``loyal_fact`` and ``order_loyalty`` are stored in the same
+    number of buckets of the order key, as ``sources.bucketed`` writes them: their join then shuffles neither.
     """
 
     loyal_fact: DataFrame
@@ -48,6 +49,7 @@ class Tables:
     listed_sites: DataFrame
     order_loyalty: DataFrame | None = None
     customer_loyalty: DataFrame | None = None
+    bucketed_by_order: bool = False
 
     def __post_init__(self) -> None:
         wanted = {"loyal_fact": FACT_COLUMNS, "fact": FACT_COLUMNS, **DIMENSION_COLUMNS}

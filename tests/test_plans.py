@@ -69,36 +69,83 @@ def test_oversized_lookups_are_not_broadcast(spark):
     assert plan.split("\n\n")[0].count("BroadcastHashJoin") <= 1
     # lines are summed per item, day and store kind before they are joined to the items
     assert re.search(r"Keys \[\d+\]: \[trade_item_key#\w+, [^\]]*cal_dt", plan)
+    # ten stores are hot each, so their lines are spread; no item is
+    assert star.items["inferred"].hot == () and len(star.stores["inferred"].hot) > 3
+    spread = [k for k in re.findall(r"Left keys \[\d+\]: \[(.*?)\]", salted) if "salt" in k]
+    assert spread and not any("trade_item_key" in keys for keys in spread)
+
+
+def test_only_hot_keys_are_salted_and_repeated(spark, tmp_path):
+    """A third of the lines on one item: its rows are spread, and the lookup grows by its copies alone."""
+    made = sample_report(spark, "/root/testdata/sf0.01", broadcast_rows=0)
+    plain = spark_rows(pulls.inferred_weekly(made.star))
+    item = made.star.items["inferred"].frame.select("trade_item_key").first()[0]
+    fact = made.tables.fact
+    line = F.pmod(F.xxhash64(*fact.columns), F.lit(3)) == 0
+    key = F.when(line, F.lit(item)).otherwise(F.col("trade_item_key"))
+    stored = publish(fact.withColumn("trade_item_key", key).repartition(16), str(tmp_path / "lines"))
+    large = sample_report(spark, "/root/testdata/sf0.01", broadcast_rows=0)
+    large.tables = dataclasses.replace(large.tables, fact=stored)
+    fits = sample_report(spark, "/root/testdata/sf0.01")
+    fits.tables = dataclasses.replace(fits.tables, fact=stored)
+    lookup = large.star.items["inferred"]
+    hashed = stored.filter(F.col("trade_item_key") == item).select(F.xxhash64("trade_item_key")).first()[0]
+    assert lookup.hot == (hashed,)
+    salted = plan_of(pulls.inferred_category_orders(large.star))
     assert "salt" in salted
+    repeated = F.when(F.xxhash64("trade_item_key").isin([hashed]), 16).otherwise(1)
+    rows = lookup.frame.count()
+    assert rows < lookup.frame.agg(F.sum(repeated)).first()[0] < 1.1 * rows
+    for pull in (pulls.inferred_weekly, pulls.inferred_category_orders):
+        assert spark_rows(pull(large.star)) == spark_rows(pull(fits.star))
+    assert spark_rows(pulls.inferred_weekly(large.star)) != plain
 
 
-@pytest.mark.parametrize("bound", [0, 1_000_000])
-def test_lines_are_cut_by_item_before_the_orders_and_the_header_moves_once(spark, bound):
-    made = sample_report(spark, SF, broadcast_rows=bound)
-    with settings(spark, autoBroadcastJoinThreshold="-1"):
-        plan = plan_of(pulls.loyal_weekly(made.star))
-    tree = plan.split("\n\n")[0]
-    depth = {}
+def joins_and_exchanges(plan: str, table: str) -> list[tuple[str, str]]:
+    """The operators above the scan of a table, nearest first, with what the plan says of each."""
+    tree, depth = plan.split("\n\n")[0], {}
     for line in tree.splitlines():
         if found := re.search(r"(\w[\w ]*) \((\d+)\)", line):
             depth[int(found[2])] = (line.index(found[0]), found[1].strip())
-    blocks = {int(m[1]): b for b in plan.split("\n\n") if (m := re.match(r"\((\d+)\) ", b))}
-    header = [n for n, b in blocks.items() if "orders.parquet" in b]
-    assert len(header) == 1
-    # exchanges between the header's scan and the join with the lines: one
-    above, level = [], depth[header[0]][0]
-    for n in sorted(k for k in depth if k > header[0]):
+    blocks = {int(m[1]): b for b in plan.split("\n\n") if (m := re.match(r"\s*\((\d+)\) ", b))}
+    (scan,) = [n for n, b in blocks.items() if table in b]
+    above, level = [], depth[scan][0]
+    for n in sorted(k for k in depth if k > scan):
         if depth[n][0] < level:
             level = depth[n][0]
-            above.append(n)
-            if "order_key" in blocks[n] and "Join" in depth[n][1]:
-                break
-    assert "order_key" in blocks[above[-1]]
-    assert sum(depth[n][1] == "Exchange" for n in above) == 1
-    # the join with the items, or with their keys, is below the one with the orders
-    orders = above[-1]
-    items = [n for n, b in blocks.items() if "Join" in depth.get(n, (0, ""))[1] and "trade_item_key" in b]
-    assert min(items) < orders
+            above.append((depth[n][1], blocks[n]))
+    return above
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_lines_are_cut_by_item_before_the_orders_and_the_header_moves_once(spark, bound):
+    """Below the bound in one plan. Beyond it the matched lines and the loyal orders are written on the way: the header
+    moves to the customers, and what then moves to the lines is the written keys of loyal orders."""
+    made = sample_report(spark, SF, broadcast_rows=bound)
+    plans = {}
+
+    def keep(df, name):
+        plans[name] = plan_of(df)
+        return made.publish(df, name)
+
+    star = dataclasses.replace(made.star, keep=keep)
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        plans["weeks"] = plan_of(pulls.loyal_weekly(star))
+    assert set(plans) == ({"loyal_lines", "loyal_orders", "weeks"} if bound == 0 else {"weeks"})
+    (with_header,) = [plan for plan in plans.values() if "orders.parquet" in plan]
+    (with_lines,) = [plan for plan in plans.values() if "lineitem.parquet" in plan]
+    above = joins_and_exchanges(with_header, "orders.parquet")
+    meets_lines = [i for i, (kind, says) in enumerate(above) if "Join" in kind and "order_key" in says]
+    below_lines = above[: meets_lines[0]] if meets_lines else above
+    assert bool(meets_lines) == (bound > 0)
+    moves = [says for kind, says in below_lines if kind == "Exchange"]
+    assert len(moves) == 1 and ("cnsmr_key" in moves[0]) == (bound == 0)
+    # the join with the items' keys is below the one with the orders
+    joins = [says for kind, says in joins_and_exchanges(with_lines, "lineitem.parquet") if "Join" in kind]
+    keys = [re.search(r"Left keys \[\d+\]: \[(.*)\]", says)[1] for says in joins]
+    items = [i for i, key in enumerate(keys) if "trade_item_key" in key]
+    orders = [i for i, key in enumerate(keys) if "ord_event_key" in key]
+    assert items and (not orders if bound == 0 else min(items) < min(orders))
 
 
 def test_partitions_outside_the_reports_days_are_skipped(spark, tmp_path):
