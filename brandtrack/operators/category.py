@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import TWO_LEVEL_PRODUCT, ReportParams
@@ -109,6 +109,30 @@ def repeated_codes(category: DataFrame) -> DataFrame:
     return known.groupBy("grpnum", "upc").agg(F.count("upc").alias("c")).filter(F.col("c") > 1)
 
 
+class FanOut:
+    """Counts of category codes before and after their dates are joined, taken while the dated codes are written.
+
+    Nothing is read again for them: both numbers are observed in the pass that writes.
+    """
+
+    def __init__(self) -> None:
+        self.before, self.after = Observation("category codes"), Observation("dated codes")
+
+    def watched(self, category: DataFrame) -> DataFrame:
+        return category.observe(self.before, F.count(F.lit(1)).alias("n"))
+
+    def counted(self, dated: DataFrame) -> DataFrame:
+        """The dated codes, equal ones as one row with their number of ``copies``."""
+        copies = dated.groupBy(*dated.columns).agg(F.count(F.lit(1)).alias("copies"))
+        rows = F.coalesce(F.sum("copies"), F.lit(0)).alias("n")
+        return copies.observe(self.after, rows, F.count(F.lit(1)).alias("distinct"))
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """One row: category codes, the same after the dates were joined, and how many are distinct."""
+        row = (self.before.get["n"], self.after.get["n"], self.after.get["distinct"])
+        return spark.createDataFrame([row], "category_rows bigint, dated_rows bigint, distinct_dated_rows bigint")
+
+
 def fan_out(category: DataFrame, dated: DataFrame) -> DataFrame:
     """One row: category codes, the same after the dates were joined, and how many are distinct."""
     copies = dated.groupBy(*dated.columns).agg(F.count(F.lit(1)).alias("copies"))

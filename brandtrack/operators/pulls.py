@@ -39,6 +39,8 @@ def _summed(lines: DataFrame, *keys: str) -> DataFrame:
 LOYAL_BRAND = {"old": ("listed", "old", ("ly", "ty")), "new": ("listed", "new", ("ty",))}
 LOYAL_CATEGORY = {"cat": ("category", "category", ("ly", "ty"))}
 WINDOWS = {"ly": "year_ago", "ty": "this_year"}
+LOYAL_COPIES = ("listed", "old", "new", "category")
+DAY_KEYS = ("grpnum", "convdate", "cal_dt", "week_end")
 
 
 def _loyal_lines(star: Star, per_order: bool = False) -> DataFrame:
@@ -61,19 +63,29 @@ def loyal_weekly(star: Star) -> DataFrame:
     ``has_brand`` and ``has_cat`` tell whether the week has a listed or a categorised line at all, even
     if its sums are 0: means divide by the number of such weeks.
     """
-    copies = ("listed", "old", "new", "category")
-    keys = ("grpnum", "week_end", "year_ago", "this_year", *copies)
-    return (
-        _summed(_loyal_lines(star), *keys)
-        .groupBy("grpnum", "week_end")
-        .agg(
-            F.expr("max(listed) > 0").alias("has_brand"),
-            F.expr("max(category) > 0").alias("has_cat"),
-            *_loyal_sums(LOYAL_BRAND | LOYAL_CATEGORY),
-        )
+    keys = ("grpnum", "week_end", *WINDOWS.values(), *LOYAL_COPIES)
+    return _loyal_weeks(_summed(_loyal_lines(star), *keys))
+
+
+def _loyal_weeks(slices: DataFrame) -> DataFrame:
+    return slices.groupBy("grpnum", "week_end").agg(
+        F.expr("max(listed) > 0").alias("has_brand"),
+        F.expr("max(category) > 0").alias("has_cat"),
+        *_loyal_sums(LOYAL_BRAND | LOYAL_CATEGORY),
     )
 
 
+def loyal_days(star: Star) -> DataFrame:
+    """Running sums by group, launch date, day and copies: what the weeks of any stop date are made of."""
+    return _summed(star.lines("loyal"), *DAY_KEYS, *LOYAL_COPIES)
+
+
+def loyal_weeks_of_days(days: DataFrame, params: ReportParams) -> DataFrame:
+    """``loyal_weekly`` from ``loyal_days`` of all days up to the stop date."""
+    past = days.filter(F.col("cal_dt") <= F.lit(params.stop_date))
+    return _loyal_weeks(past.withColumns({"year_ago": in_year_ago(params), "this_year": in_this_year()}))
+
+
 def loyal_brand_rows(weekly: DataFrame) -> DataFrame:
     rows = weekly.filter("has_brand")
     names = [c for c in weekly.columns if c.startswith(("old_", "new_"))]
@@ -110,6 +122,7 @@ def loyal_category_orders(star: Star) -> DataFrame:
 # --- the two banners whose old brand is inferred --------------------------------------------------
 
 BANNER_FLAGS = (("pr", "is_inferred"), ("fg", "is_listed"))
+INFERRED_COPIES = ("is_inferred", "is_listed", "category", "new", "old")
 
 
 def _post_sums(copies: str, prefix: str = "post") -> list[Column]:
@@ -126,20 +139,29 @@ def inferred_weekly(star: Star) -> DataFrame:
 
     ``has_new`` and ``has_old`` tell whether any store, of whatever banner, sold such an item.
     """
-    keys = ("grpnum", "week_end", "is_inferred", "is_listed", "category", "new", "old")
-    return (
-        _summed(star.lines("inferred"), *keys)
-        .groupBy("grpnum", "week_end")
-        .agg(
-            F.expr("max(new) > 0").alias("has_new"),
-            F.expr("max(old) > 0").alias("has_old"),
-            *_post_sums("(category * new)", "new"),
-            *_post_sums("(category * old)", "old"),
-            *_post_sums("category", "cat"),
-        )
+    return _inferred_weeks(_summed(star.lines("inferred"), "grpnum", "week_end", *INFERRED_COPIES))
+
+
+def _inferred_weeks(slices: DataFrame) -> DataFrame:
+    return slices.groupBy("grpnum", "week_end").agg(
+        F.expr("max(new) > 0").alias("has_new"),
+        F.expr("max(old) > 0").alias("has_old"),
+        *_post_sums("(category * new)", "new"),
+        *_post_sums("(category * old)", "old"),
+        *_post_sums("category", "cat"),
     )
 
 
+def inferred_days(star: Star) -> DataFrame:
+    """Running sums by group, launch date, day, store kind and copies."""
+    return _summed(star.lines("inferred"), *DAY_KEYS, *INFERRED_COPIES)
+
+
+def inferred_weeks_of_days(days: DataFrame, params: ReportParams) -> DataFrame:
+    """``inferred_weekly`` from ``inferred_days`` of all days up to the stop date."""
+    return _inferred_weeks(days.filter(F.col("cal_dt") <= F.lit(params.stop_date)))
+
+
 def _post_columns(brand: str) -> str:
     names = [f"{measure}_{banner}" for measure, _ in MEASURES for banner, _ in BANNER_FLAGS]
     return ", ".join(f"{brand}_{name} AS post_{name}" for name in names)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,6 +138,30 @@ class Star:
     customers: Lookup | None = None
     header_rows: int = 0
 
+    def only(self, days: list[date], groups: list[int] | None, tag: str) -> Star:
+        """The star of some days, and of some groups if any are named; ``tag`` marks what it writes.
+
+        The days' keys go into the plan one by one, as keys need not follow the days. The driver receives these keys.
+        """
+        chosen = self.days.frame.filter(F.col("cal_dt").isin(days))
+        key_type = chosen.schema["ord_date_key"].dataType
+        keys = [r[0] for r in chosen.select(F.col("ord_date_key").cast("string")).collect()]
+        literals = [F.lit(key).cast(key_type) for key in keys]
+        day_keys = F.col("ord_date_key").isin(literals) if keys else F.lit(False)
+
+        def of_groups(frame: DataFrame) -> DataFrame:
+            return frame if groups is None else frame.filter(F.col("grpnum").isin(groups))
+
+        items = {pull: replace(own, frame=of_groups(own.frame)) for pull, own in self.items.items()}
+        return replace(
+            self,
+            days=replace(self.days, frame=chosen),
+            day_keys=self.day_keys & day_keys,
+            items=items,
+            spans={pull: replace(own, frame=_spans_of(pull, items[pull].frame)) for pull, own in self.spans.items()},
+            keep=lambda df, name: self.keep(df, f"{name}_{tag}"),
+        )
+
     def matched(self, pull: str) -> DataFrame:
         """The lines that count for some group, each once: of its item's days and of the pull's stores."""
         salts = self.params.salts

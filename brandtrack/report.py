@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -13,6 +15,8 @@ from .params import ReportParams
 from .plans import metrics, summary, trend
 from .sources.publish import is_published, publish, remove, shared_folder
 from .sources.tables import Tables
+from .sources.versions import VersionedTables
+from .weekly_state import WeeklyState
 
 
 class BrandReport:
@@ -22,7 +26,9 @@ class BrandReport:
     date) under ``folder``, by default a new one below ``spark.checkpoint.dir``, and count the lookups. Each
     of the two pulls reads the order lines once, for its weekly table, which is written too: all weekly
     results come from these. ``close``, or the end of a ``with`` block, removes what the run has written.
-    Where ``params.brand_flag`` is set, only the groups of that brand are pulled and reported.
+    Where ``params.brand_flag`` is set, only the groups of that brand are pulled and reported. With a ``state``, the
+    weekly tables come from it: the lines are then read for the days, and groups, that it lacks and for the
+    ``corrected`` days.
     """
 
     #: Names of the tables a run writes.
@@ -31,11 +37,18 @@ class BrandReport:
     )
 
     def __init__(
-        self, tables: Tables, raw_list: DataFrame, params: ReportParams, folder: str | None = None
+        self,
+        tables: Tables,
+        raw_list: DataFrame,
+        params: ReportParams,
+        folder: str | None = None,
+        state: WeeklyState | None = None,
+        corrected: Sequence[date] = (),
     ) -> None:
         self.tables, self.params = tables, params
         self.raw_list = raw_list
         self.spark = raw_list.sparkSession
+        self.state, self.corrected = state, corrected
         self.folder = folder or shared_folder(self.spark)
         taken = [t for t in self.WRITTEN if folder and is_published(self.spark, f"{folder}/{t}")]
         if taken:
@@ -104,21 +117,39 @@ class BrandReport:
         self.loyal_weeks, self.inferred_weeks  # noqa: B018
         return self
 
+    def upload_to(self, versions: VersionedTables) -> int:
+        """Write the cleaned list and the dated category codes as one version of lasting tables, and return its number.
+
+        The rows of both are counted as they are written; ``versions.rows`` has the counts.
+        """
+        return versions.write(conversion_list=self.conv, category_upcs=self.dated_category)
+
     @cached_property
     def star(self) -> Star:
         """The order lines ready to be pulled, with the list and the report's items written once."""
         self.upload_list()
-        items = report_items(self.conv, self.dated_category, self.tables, self.params)
-        return plan_star(self.tables, self.publish(items, "items"), self.params, self.publish)
+        return plan_star(self.tables, self.publish_items(), self.params, self.publish)
+
+    @cached_property
+    def _state_weeks(self) -> tuple[DataFrame, DataFrame]:
+        return self.state.refresh(self.star, self.publish_items(), self.corrected)
+
+    def publish_items(self) -> DataFrame:
+        """The report's items, written once."""
+        return self.publish(report_items(self.conv, self.dated_category, self.tables, self.params), "items")
 
     @cached_property
     def loyal_weeks(self) -> DataFrame:
         """Sums by group and week of the banner with listed codes."""
+        if self.state:
+            return self._state_weeks[0]
         return self.publish(pulls.loyal_weekly(self.star), "loyal_weeks")
 
     @cached_property
     def inferred_weeks(self) -> DataFrame:
         """Sums by group and week of the banners with inferred codes."""
+        if self.state:
+            return self._state_weeks[1]
         return self.publish(pulls.inferred_weekly(self.star), "inferred_weeks")
 
     def loyal_banner_weekly(self) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +15,22 @@ from .operators import pulls
 from .plans import trend
 from .report import BrandReport
 from .sources.conversion_list import listed_rows, read_conversion_list
-from .sources.publish import published_rows, write_summary
-from .sources.sample_tables import sample_list, sample_params, sample_tables
+from .sources.intake import Intake, take_in
+from .sources.publish import shared_folder, write_summary
+from .sources.sample_tables import STOP_DATE, sample_list, sample_params, sample_tables
+from .sources.versions import VersionedTables
+from .weekly_state import WeeklyState
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def sample_report(spark: SparkSession, sf_dir: str, code_on_line: bool = False, **params) -> BrandReport:
+def sample_report(
+    spark: SparkSession, sf_dir: str, code_on_line: bool = False, state: WeeklyState | None = None, **params
+) -> BrandReport:
     """The report over the sample tables, for the groups of all brands unless told otherwise."""
     chosen = sample_params(**{"brand_flag": None, **params})
     tables = sample_tables(spark, sf_dir, code_on_line)
-    return BrandReport(tables, sample_list(spark, sf_dir), chosen)
+    return BrandReport(tables, sample_list(spark, sf_dir), chosen, state=state)
 
 
 def _with_doubles(df: DataFrame) -> DataFrame:
@@ -45,8 +51,41 @@ def _branch(name: str) -> Query:
 
 
 def _upload_counts(report: BrandReport) -> DataFrame:
-    listed = report.upload_list().conv
-    return published_rows(conversion_list=listed, category_upcs=report.upload_category())
+    """The rows of a written version, as counted while it was written."""
+    versions = VersionedTables(report.spark, f"{report.folder}/uploaded")
+    rows = versions.rows(report.upload_to(versions))
+    return report.spark.createDataFrame(list(rows.items()), "table_name string, n_rows bigint")
+
+
+def _fan_out(report: BrandReport) -> DataFrame:
+    counts = cat.FanOut()
+    dated = cat.dated_category(counts.watched(report.category), report.lookups["dates"], report.params)
+    report.publish(counts.counted(dated), "counted_codes")
+    return counts.result(report.spark)
+
+
+def _uploaded_list(report: BrandReport) -> DataFrame:
+    """A table of a written version, read back after a later version was written."""
+    versions = VersionedTables(report.spark, f"{report.folder}/uploaded")
+    first = versions.read("conversion_list", report.upload_to(versions))
+    versions.write(conversion_list=first.limit(0))
+    return first
+
+
+def _intake(report: BrandReport) -> Intake:
+    return take_in(report.raw_list, f"{report.folder}/intake")
+
+
+def _incremental(build: Callable[[BrandReport], DataFrame], **params) -> Query:
+    """A result of the week after the state was brought up to the week before."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        state = WeeklyState(VersionedTables(spark, shared_folder(spark)))
+        week_before = sample_report(spark, sf_dir, state=state, stop_date=STOP_DATE - timedelta(days=7), **params)
+        week_before.publish_weeks()
+        return _with_doubles(build(sample_report(spark, sf_dir, state=state, **params)))
+
+    return run
 
 
 def _list_file(report: BrandReport) -> DataFrame:
@@ -98,6 +137,9 @@ def queries() -> dict[str, Query]:
         "nonstandard_upcs": _query(lambda r: conv.nonstandard_upcs(r.conv, r.params)),
         "conv_from_file": _query(_list_file),
         "dq_bad_codes": _query(lambda r: conv.bad_codes(r.raw_list)),
+        "list_rejected": _query(lambda r: _intake(r).report()),
+        "list_intake": _query(lambda r: _intake(r).counts()),
+        "uploaded_list": _query(_uploaded_list),
         "listed_stores": _query(_stores_on_list),
         "dq_group_attributes": _query(lambda r: conv.group_attributes(r.conv)),
         # the categories
@@ -109,7 +151,7 @@ def queries() -> dict[str, Query]:
         "upc_cat_dated": _query(lambda r: r.dated_category),
         "cat_groups": _query(lambda r: cat.category_groups(r.category)),
         "dq_dup_upc_in_group": _query(lambda r: cat.repeated_codes(r.category)),
-        "dq_fanout": _query(lambda r: cat.fan_out(r.category, r.dated_category)),
+        "dq_fanout": _query(_fan_out),
         "upload_counts": _query(_upload_counts),
         # the sales pulls
         "sr_upc_order_week": _query(lambda r: pulls.loyal_brand_orders(r.star)),
@@ -122,6 +164,9 @@ def queries() -> dict[str, Query]:
         "prfg_upc_week": _query(lambda r: r.inferred_brand_weekly()[1]),
         "prfg_cat_order_week": _query(lambda r: pulls.inferred_category_orders(r.star)),
         "prfg_cat_week": _query(lambda r: r.inferred_brand_weekly()[0]),
+        "weekly_incremental": _incremental(lambda r: r.loyal_banner_weekly()[1]),
+        "prfg_incremental": _incremental(lambda r: r.inferred_brand_weekly()[1]),
+        "metrics_incremental": _incremental(lambda r: r.banner_metrics()),
         # weeks, metrics and the report
         "week_end_dates": _query(_week_ends),
         "week_spine": _query(lambda r: trend.week_spine(r.header)),

@@ -51,7 +51,7 @@ SAMPLE_STORES = range(7, 10_000, 10)
 
 
 def sample_params(**overrides) -> ReportParams:
-    return ReportParams.for_week(f"{STOP_DATE:%Y%m%d}", **overrides)
+    return ReportParams(**{"stop_date": STOP_DATE, **overrides})
 
 
 def _level2(size):
