@@ -1,20 +1,23 @@
 """Finding passages of benchmark items in documents.
 
 A document is compared with an item in windows of the item's own number of words. Each window has a SimHash
-fingerprint, 64 bits, of its word shingles; an index of the items' fingerprints by eight blocks of eight bits,
-each block with all its neighbours within two flipped bits, finds every item within ``RADIUS`` bits, since 23
-flipped bits leave a block with two at most. What it finds is verified by the exact weighted Jaccard similarity of
-the window's and the item's shingles: a shingle counts as often as it occurs, times
-its weight, the letters in its words.
+fingerprint, 256 bits, of its word shingles. The items' fingerprints are indexed by sixteen blocks of sixteen bits: two
+fingerprints within ``RADIUS`` = 63 bits agree in some block but for three bits at most. A block's table has each item
+under its value and under all values one bit away, and a window looks up its value and all values two bits
+away, so every item within the radius is found; of two unlike fingerprints one in six meets in some block. What is within the radius
+is verified by the exact weighted Jaccard similarity of the window's and the item's shingles: a shingle counts as
+often as it occurs, times its weight, the letters in its words. At a similarity of 0.8 fingerprints differ in 39 bits, 6
+more or less, so the radius leaves out none in practice.
 
-A window without a shingle of an item has similarity 0 to it. So fingerprints are taken only of windows that have
-one, of the items concerned; the others need no work, and no alike window is among them.
+A window without any shingle of an item of its size has similarity 0 to all of them. So fingerprints are taken only of windows that
+have one; the others need no work, and no alike window is among them.
 
-Items are taken in blocks of ``ITEM_BLOCK``; tasks hold one block's shingles, never the documents'.
+Items are taken in blocks of ``ITEM_BLOCK`` and ``ITEM_BYTES`` at most, each once however often it is repeated, and an
+index of more than ``INDEX_BYTES`` is split; tasks hold one index, never the documents'.
 
 Defined results: words are runs of letters, digits and underscores in lower case, shingles five words, or the whole
-item if it is shorter; null or wordless items and texts match nothing; repeated rows match each; an empty table
-gives an empty result; a text shorter than an item is its only window. Other columns are not read by
+item if it is shorter; null or wordless items and texts match nothing; repeated documents match each, repeated items
+once; an empty table gives an empty result; a text shorter than an item is its only window. Other columns are not read by
 ``matches`` and pass through ``drop_contaminated``.
 """
 
@@ -23,8 +26,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -34,9 +38,13 @@ from pyspark.sql import functions as F
 
 N = 5
 SIMILAR = 0.8
-RADIUS = 23
-BLOCKS, BLOCK_BITS, FLIPS = 8, 8, 2
+RADIUS = 63
+#: 64-bit words of a fingerprint, its blocks of 16 bits, and the bits that an item's and a window's lookups may flip.
+WORDS, BLOCKS, BLOCK_BITS = 4, 16, 16
+ITEM_FLIPS, WINDOW_FLIPS = 1, 2
 ITEM_BLOCK = 20_000
+ITEM_BYTES = 32 << 20
+INDEX_BYTES = 128 << 20
 WORD = re.compile(r"\w+")
 ODD = np.uint64(0x9E3779B185EBCA87)
 S29, S31 = np.uint64(29), np.uint64(31)
@@ -79,40 +87,82 @@ class Shingler:
 
 def signs(shingles: np.ndarray) -> np.ndarray:
     """Bits of shingles as +1 and -1, one row each."""
-    mixed = (shingles ^ (shingles >> S31)) * ODD
-    return ((mixed[:, None] >> BITS) & np.uint64(1)).astype(np.int64) * 2 - 1
+    out = np.empty((shingles.size, 64 * WORDS), dtype=np.int64)
+    mixed = shingles
+    for k in range(WORDS):
+        mixed = (mixed ^ (mixed >> S31)) * ODD
+        mixed ^= mixed >> S29
+        out[:, 64 * k : 64 * k + 64] = ((mixed[:, None] >> BITS) & np.uint64(1)).astype(np.int64) * 2 - 1
+    return out
 
 
 def packed(sums: np.ndarray) -> np.ndarray:
-    """Fingerprints of rows of bit sums."""
-    return ((sums > 0).astype(np.uint64) << BITS).sum(axis=1, dtype=np.uint64)
+    """Fingerprints of rows of bit sums, ``WORDS`` numbers each."""
+    bits = (sums > 0).reshape(len(sums), WORDS, 64).astype(np.uint64)
+    return (bits << BITS).sum(axis=2, dtype=np.uint64)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _near_blocks() -> np.ndarray:
-    """What flips of up to ``FLIPS`` bits do to a block."""
-    return np.array([x for x in range(1 << BLOCK_BITS) if x.bit_count() <= FLIPS], dtype=np.uint64)
+def _flips(most: int) -> np.ndarray:
+    """What flips of up to so many bits do to a block."""
+    one = [1 << k for k in range(BLOCK_BITS)]
+    return np.array([sum(bits) for n in range(most + 1) for bits in combinations(one, n)], dtype=np.uint16)
+
+
+class BlockTable:
+    """One block's table: the items under each value that is theirs but for ``ITEM_FLIPS`` bits."""
+
+    def __init__(self, values: np.ndarray):
+        near = (values[:, None] ^ _flips(ITEM_FLIPS)[None, :]).ravel()
+        order = np.argsort(near, kind="stable")
+        self.items = np.repeat(np.arange(len(values), dtype=np.int32), near.size // max(1, len(values)))[order]
+        self.begins = np.searchsorted(near[order], np.arange((1 << BLOCK_BITS) + 1)).astype(np.int32)
+
+    def look_up(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a place in ``values`` and an item that is near it."""
+        probes = (values[:, None] ^ _flips(WINDOW_FLIPS)[None, :]).astype(np.int64)
+        low, high = self.begins[probes], self.begins[probes + 1]
+        at, probe = np.nonzero(high > low)
+        n = (high - low)[at, probe]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(at, n), self.items[np.repeat(low[at, probe], n) + within]
 
 
 @dataclass
 class Items:
-    """Shingles, fingerprints and the block index of some items."""
+    """Shingles, fingerprints and the block tables of some items."""
 
     ids: list
     n_words: np.ndarray
     #: words of the items' shingles
     n: np.ndarray
-    known: np.ndarray
     bags: list[Counter]
-    totals: np.ndarray | None = None
-    prints: np.ndarray | None = None
-    #: shingle to the items that have it
-    holders: dict[int, list[int]] = field(default_factory=dict)
-    #: per block, its value to the items within two flips
-    index: list[dict[int, set[int]]] = field(default_factory=list)
+    #: shingles of the items of each size, sorted
+    known: dict[int, np.ndarray]
+    totals: np.ndarray
+    prints: np.ndarray
+    tables: list[BlockTable]
+
+    @property
+    def nbytes(self) -> int:
+        """About what tasks are sent."""
+        tables = sum(t.items.nbytes + t.begins.nbytes for t in self.tables)
+        return tables + self.prints.nbytes + sum(k.nbytes for k in self.known.values()) + 16 * sum(map(len, self.bags))
+
+    def near(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and items of a size whose fingerprints are within the radius, as the tables find them."""
+        blocks = prints.view(np.uint16)
+        pairs = [np.zeros(0, dtype=np.int64)]
+        for k, table in enumerate(self.tables):
+            window, item = table.look_up(blocks[:, k])
+            own = self.n_words[item] == size
+            pairs.append(np.unique(window[own] * len(self.ids) + item[own]))
+        window, item = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.ids)))
+        close = distance(prints[window], self.prints[item]) <= RADIUS
+        return window[close], item[close]
 
 
 def index_items(rows: list[tuple]) -> Items:
@@ -120,27 +170,20 @@ def index_items(rows: list[tuple]) -> Items:
     shingler = Shingler()
     words = [(i, *shingler.words(text or "")) for i, text in rows]
     words = [row for row in words if row[1].size]
-    n = np.array([min(N, w.size) for _, w, _ in words], dtype=np.int64)
+    n_words = np.array([w.size for _, w, _ in words], dtype=np.int64)
+    n = np.minimum(n_words, N)
     cut = [Shingler.shingles(w, lengths, int(k)) for (_, w, lengths), k in zip(words, n, strict=True)]
     bags = [Counter(shingles.tolist()) for shingles, _ in cut]
-    known = np.array(sorted({s for bag in bags for s in bag}), dtype=np.uint64)
-    items = Items([row[0] for row in words], np.array([row[1].size for row in words]), n, known, bags)
-    totals, prints = [], []
+    known = {
+        size: np.unique(np.concatenate([shingles for (shingles, _), m in zip(cut, n_words) if m == size]))
+        for size in sorted(set(n_words.tolist()))
+    }
+    totals = np.array([int(weight.sum()) for _, weight in cut], dtype=np.int64)
+    prints = np.zeros((len(cut), WORDS), dtype=np.uint64)
     for k, (shingles, weight) in enumerate(cut):
-        totals.append(int(weight.sum()))
-        prints.append(packed((signs(shingles) * weight[:, None]).sum(axis=0, keepdims=True))[0])
-        for s in bags[k]:
-            items.holders.setdefault(s, []).append(k)
-    items.totals, items.prints = np.array(totals), np.array(prints, dtype=np.uint64)
-    near = _near_blocks()
-    for block in range(BLOCKS):
-        values: dict[int, set[int]] = {}
-        for k, mark in enumerate(items.prints):
-            own = (mark >> np.uint64(block * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)
-            for value in (own ^ near).tolist():
-                values.setdefault(value, set()).add(k)
-        items.index.append(values)
-    return items
+        prints[k] = packed((signs(shingles) * weight[:, None]).sum(axis=0, keepdims=True))[0]
+    tables = [BlockTable(prints.view(np.uint16)[:, block]) for block in range(BLOCKS)]
+    return Items([row[0] for row in words], n_words, n, bags, known, totals, prints, tables)
 
 
 def _similarity(bag: Counter, total: int, shingles: np.ndarray, weight: np.ndarray) -> float:
@@ -156,60 +199,43 @@ def _similarity(bag: Counter, total: int, shingles: np.ndarray, weight: np.ndarr
 
 def find(text: str, items: Items, shingler: Shingler) -> list[tuple[int, int, int, float]]:
     """Per item with an alike window: its place among the items, the best window's first word, bits, similarity."""
-    if not items.ids:
-        return []
     words, lengths = shingler.words(text)
+    cut = {n: Shingler.shingles(words, lengths, n) for n in set(items.n.tolist())}
     found = []
-    for n in np.unique(items.n).tolist():
-        shingles, weight = Shingler.shingles(words, lengths, n)
+    for size, known in items.known.items():
+        n = min(size, N)
+        shingles, weight = cut[n]
         if not shingles.size:
             continue
-        at = np.minimum(np.searchsorted(items.known, shingles), items.known.size - 1)
-        hits = np.flatnonzero(items.known[at] == shingles)
-        if not hits.size:
-            continue
-        places: dict[int, list[int]] = {}
-        for hit in hits.tolist():
-            for k in items.holders[int(shingles[hit])]:
-                if items.n[k] == n:
-                    places.setdefault(k, []).append(hit)
-        for k, own in places.items():
-            match = _best_window(words.size, shingles, weight, np.array(own), n, k, items)
-            if match:
-                found.append((k, *match))
+        at = np.minimum(np.searchsorted(known, shingles), known.size - 1)
+        hits = np.flatnonzero(known[at] == shingles)
+        if hits.size:
+            found += _best_windows(words.size, shingles, weight, hits, size, n, items)
     return sorted(found)
 
 
-def _best_window(
-    n_words: int, shingles: np.ndarray, weights: np.ndarray, hits: np.ndarray, n: int, k: int, items: Items
-) -> tuple[int, int, float] | None:
-    """The most alike window of item ``k``'s size that has one of its shingles; the first of equals."""
-    size = min(int(items.n_words[k]), n_words)
-    wide = size - n + 1
-    starts = np.unique(np.clip(hits[:, None] - np.arange(wide)[None, :], 0, n_words - size))
-    best = None
+def _best_windows(
+    n_words: int, shingles: np.ndarray, weights: np.ndarray, hits: np.ndarray, size: int, n: int, items: Items
+) -> list[tuple[int, int, int, float]]:
+    """For items of a size, the most alike window of those that hold one of the hits; the first of equals."""
+    wide = min(size, n_words) - n + 1
+    starts = np.unique(np.clip(hits[:, None] - np.arange(wide)[None, :], 0, n_words - (wide + n - 1)))
+    best: dict[int, tuple[int, int, float]] = {}
     # runs of neighbouring windows share their sums; long ones are taken in parts
     for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
-        for part in np.split(run, range(4096, run.size, 4096)):
+        for part in np.split(run, range(1024, run.size, 1024)):
             low = int(part[0])
             own = shingles[low : int(part[-1]) + wide]
             weight = weights[low : int(part[-1]) + wide]
-            sums = np.concatenate([np.zeros((1, 64), dtype=np.int64), np.cumsum(signs(own) * weight[:, None], axis=0)])
+            sums = np.concatenate([np.zeros((1, 64 * WORDS), dtype=np.int64), np.cumsum(signs(own) * weight[:, None], axis=0)])
             prints = packed(sums[part - low + wide] - sums[part - low])
-            near = np.zeros(part.size, dtype=bool)
-            for block in range(BLOCKS):
-                values = (prints >> np.uint64(block * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)
-                holders = items.index[block]
-                fits = {v: k in holders.get(v, ()) for v in set(values.tolist())}
-                near |= np.array([fits[v] for v in values.tolist()], dtype=bool)
-            bits = distance(prints, items.prints[k])
-            for i in np.flatnonzero(near & (bits <= RADIUS)).tolist():
-                first = int(part[i]) - low
-                window = slice(first, first + wide)
-                alike = _similarity(items.bags[k], items.totals[k], own[window], weight[window])
-                if alike >= SIMILAR and (best is None or alike > best[2]):
-                    best = (int(part[i]), int(bits[i]), float(alike))
-    return best
+            for window, k in zip(*(x.tolist() for x in items.near(prints, size))):
+                first = int(part[window]) - low
+                covered = slice(first, first + wide)
+                alike = _similarity(items.bags[k], items.totals[k], own[covered], weight[covered])
+                if alike >= SIMILAR and (k not in best or alike > best[k][2]):
+                    best[k] = (int(part[window]), int(distance(prints[window], items.prints[k])), float(alike))
+    return [(k, *match) for k, match in best.items()]
 
 
 FOUND = "array<struct<item_id:bigint,first_word:bigint,bits:int,similarity:double>>"
@@ -235,14 +261,25 @@ def passages(text: Column, items: Items) -> Column:
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The benchmark in blocks that fit the driver and the tasks."""
-    known = benchmark.select("item_id", "text").filter("text is not null")
-    n = known.count()
-    n_blocks = max(1, -(-n // ITEM_BLOCK))
+    """The benchmark in indexes that fit the driver and the tasks."""
+    known = benchmark.select("item_id", "text").filter("text is not null").distinct()
+    n, size = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_blocks = max(1, -(-n // ITEM_BLOCK), -(-size // ITEM_BYTES))
     for block in range(n_blocks):
         part = known if n_blocks == 1 else known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
         rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0], r[1]))
-        yield index_items(rows)
+        yield from _indexes(rows)
+
+
+def _indexes(rows: list[tuple]) -> Iterator[Items]:
+    """The rows' index, or those of their halves where it is too large to be sent to the tasks."""
+    items = index_items(rows)
+    if items.nbytes <= INDEX_BYTES or len(rows) < 2:
+        yield items
+        return
+    half = len(rows) // 2
+    yield from _indexes(rows[:half])
+    yield from _indexes(rows[half:])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

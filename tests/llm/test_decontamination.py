@@ -62,15 +62,48 @@ def test_matches_equal_brute_force_over_all_windows():
             assert got == brute(text, items), text
 
 
-def test_the_blocks_find_everything_within_the_radius():
+def flipped(rng, prints, n_bits):
+    out = prints.copy()
+    for bit in rng.choice(256, n_bits, replace=False).tolist():
+        out[bit // 64] ^= np.uint64(1 << (bit % 64))
+    return out
+
+
+def test_the_tables_find_everything_within_the_radius_and_little_else():
     rng = np.random.default_rng(1)
-    near = set(dc._near_blocks().tolist())
-    for _ in range(2000):
-        a = int(rng.integers(0, 1 << 63))
-        b = a
-        for bit in rng.choice(64, int(rng.integers(0, dc.RADIUS + 1)), replace=False).tolist():
-            b ^= 1 << bit
-        assert any(((a ^ b) >> (8 * k)) & 255 in near for k in range(dc.BLOCKS))
+    items = dc.index_items([(i, " ".join(f"w{rng.integers(1000)}" for _ in range(30))) for i in range(300)])
+    for _ in range(300):
+        k, n_bits = int(rng.integers(300)), int(rng.integers(0, dc.RADIUS + 1))
+        window, item = items.near(flipped(rng, items.prints[k], n_bits)[None, :], 30)
+        assert k in item.tolist()
+        assert not items.near(flipped(rng, items.prints[k], n_bits)[None, :], 29)[0].size
+    others = rng.integers(0, 1 << 63, size=(100, 4), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, size=(100, 4), dtype=np.uint64)
+    met = set()
+    for k, table in enumerate(items.tables):
+        met |= set(zip(*(x.tolist() for x in table.look_up(others.view(np.uint16)[:, k]))))
+    assert len(met) < 0.2 * 100 * 300
+
+
+def test_candidates_come_from_the_tables():
+    items, docs = corpus(2)
+    index, shingler = dc.index_items(items), dc.Shingler()
+    assert any(dc.find(text, index, shingler) for _, text in docs)
+    index.tables = []
+    assert not any(dc.find(text, index, shingler) for _, text in docs)
+
+
+def test_repeated_items_are_collected_once_and_large_indexes_are_split(spark, monkeypatch):
+    items, docs = corpus(4)
+    benchmark = spark.createDataFrame(items * 50, "item_id long, text string")
+    (whole,) = dc.item_blocks(benchmark)
+    assert len(whole.ids) == len(items)
+    monkeypatch.setattr(dc, "INDEX_BYTES", whole.nbytes - 1)
+    assert sorted(i for part in dc.item_blocks(benchmark) for i in part.ids) == sorted(i for i, _ in items)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in dc.matches(frame, benchmark).collect())
+    assert got == sorted((d, i) for d, t in docs for i in brute(t, items))
+    monkeypatch.setattr(dc, "ITEM_BYTES", 100)
+    assert len(list(dc.item_blocks(benchmark))) > 5
 
 
 def test_rows_nulls_copies_and_blocks_of_items(spark, monkeypatch):
