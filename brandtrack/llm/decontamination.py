@@ -140,8 +140,9 @@ class Items:
     #: words of the items' shingles
     n: np.ndarray
     bags: list[Counter]
-    #: shingles of the items of each size, sorted
+    #: sorted shingles of all items, by the number of their words, and of the items of each size
     known: dict[int, np.ndarray]
+    of_size: dict[int, np.ndarray]
     totals: np.ndarray
     prints: np.ndarray
     tables: list[BlockTable]
@@ -150,7 +151,8 @@ class Items:
     def nbytes(self) -> int:
         """About what tasks are sent."""
         tables = sum(t.items.nbytes + t.begins.nbytes for t in self.tables)
-        return tables + self.prints.nbytes + sum(k.nbytes for k in self.known.values()) + 16 * sum(map(len, self.bags))
+        shingles = sum(a.nbytes for a in (*self.known.values(), *self.of_size.values()))
+        return tables + self.prints.nbytes + shingles + 16 * sum(map(len, self.bags))
 
     def near(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Windows and items of a size whose fingerprints are within the radius, as the tables find them."""
@@ -174,16 +176,19 @@ def index_items(rows: list[tuple]) -> Items:
     n = np.minimum(n_words, N)
     cut = [Shingler.shingles(w, lengths, int(k)) for (_, w, lengths), k in zip(words, n, strict=True)]
     bags = [Counter(shingles.tolist()) for shingles, _ in cut]
-    known = {
-        size: np.unique(np.concatenate([shingles for (shingles, _), m in zip(cut, n_words) if m == size]))
-        for size in sorted(set(n_words.tolist()))
-    }
+
+    def shingles_by(number: np.ndarray) -> dict[int, np.ndarray]:
+        by: dict[int, list[np.ndarray]] = {}
+        for (shingles, _), m in zip(cut, number.tolist(), strict=True):
+            by.setdefault(m, []).append(shingles)
+        return {m: np.unique(np.concatenate(own)) for m, own in sorted(by.items())}
+
     totals = np.array([int(weight.sum()) for _, weight in cut], dtype=np.int64)
     prints = np.zeros((len(cut), WORDS), dtype=np.uint64)
     for k, (shingles, weight) in enumerate(cut):
         prints[k] = packed((signs(shingles) * weight[:, None]).sum(axis=0, keepdims=True))[0]
     tables = [BlockTable(prints.view(np.uint16)[:, block]) for block in range(BLOCKS)]
-    return Items([row[0] for row in words], n_words, n, bags, known, totals, prints, tables)
+    return Items([row[0] for row in words], n_words, n, bags, shingles_by(n), shingles_by(n_words), totals, prints, tables)
 
 
 def _similarity(bag: Counter, total: int, shingles: np.ndarray, weight: np.ndarray) -> float:
@@ -200,20 +205,26 @@ def _similarity(bag: Counter, total: int, shingles: np.ndarray, weight: np.ndarr
 def find(text: str, items: Items, shingler: Shingler) -> list[tuple[int, int, int, float]]:
     """Per item with an alike window: its place among the items, the best window's first word, bits, similarity."""
     words, lengths = shingler.words(text)
-    cut = {n: Shingler.shingles(words, lengths, n) for n in set(items.n.tolist())}
     found = []
-    for size, known in items.known.items():
-        n = min(size, N)
-        shingles, weight = cut[n]
-        if not shingles.size:
+    for n, known in items.known.items():
+        shingles, weight = Shingler.shingles(words, lengths, n)
+        hits = _among(known, shingles)
+        if not hits.size:
             continue
-        at = np.minimum(np.searchsorted(known, shingles), known.size - 1)
-        hits = np.flatnonzero(known[at] == shingles)
-        if hits.size:
-            found += _best_windows(words.size, shingles, weight, hits, size, n, items)
+        for size, own in items.of_size.items():
+            if min(size, N) == n and (of_size := hits[_among(own, shingles[hits])]).size:
+                found += _best_windows(words.size, shingles, weight, of_size, size, n, items)
     return sorted(found)
 
 
+def _among(known: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Places of the shingles that are known ones."""
+    if not shingles.size:
+        return np.zeros(0, dtype=np.int64)
+    at = np.minimum(np.searchsorted(known, shingles), known.size - 1)
+    return np.flatnonzero(known[at] == shingles)
+
+
 def _best_windows(
     n_words: int, shingles: np.ndarray, weights: np.ndarray, hits: np.ndarray, size: int, n: int, items: Items
 ) -> list[tuple[int, int, int, float]]:
