@@ -4,9 +4,8 @@ The prompt is the longest common prefix of turns of the chosen and the rejected
 once. What follows on each side is that side's completion; its mask holds the spans of the turns a model learns
 from.
 
-A conversation may hold any share of all turns, so a pair comes in pieces of ``PIECE`` turn numbers: turns are
-collected by pair and piece, never by conversation, and the pieces in order make the pair. Nearly all pairs have
-one piece.
+A pair is one record with one prompt and two completions, so its turns come together in one task, however many they
+are. Where the sides part is found from digests of the turns, so that texts are shuffled once.
 
 Defined results: a turn is its number, role and text; null roles and texts count as empty, and turns with a null
 number or conversation are not in any conversation. Equal rows are one turn; different rows of one number are
@@ -19,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PIECE = 256
 #: A rendered turn is head, role, mid, text, tail.
 HEAD, MID, TAIL = "<|im_start|>", "\n", "<|im_end|>\n"
 LEARNED = "assistant"
@@ -67,22 +65,20 @@ def sides(conversations: DataFrame) -> DataFrame:
 
 
 def format_pairs(sided: DataFrame) -> DataFrame:
-    """One row per pair and piece from ``(pair_id, chosen, conv_id, turn, role, text)``."""
+    """One row per pair from ``(pair_id, chosen, conv_id, turn, role, text)``."""
     known = sided.filter("pair_id is not null and turn is not null")
     turn = F.struct(
         F.col("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    piece = F.floor(F.col("turn") / PIECE).cast("long").alias("piece")
-    pieces = known.groupBy("pair_id", piece).agg(
+    turns = known.groupBy("pair_id").agg(
         F.array_sort(F.collect_set(F.when(F.col("chosen"), turn))).alias("_chosen"),
         F.array_sort(F.collect_set(F.when(~F.col("chosen"), turn))).alias("_rejected"),
     )
-    # where the sides part, from digests of the turns: texts are shuffled once, to their pieces
     said = F.md5(F.to_json(F.struct(turn["role"].alias("role"), turn["text"].alias("text"))))
-    slim = known.select("pair_id", piece, "chosen", "conv_id", "turn", said.alias("_said"))
-    once = slim.groupBy("pair_id", "piece", "turn", "_said").agg(
+    slim = known.select("pair_id", "chosen", "conv_id", "turn", said.alias("_said"))
+    once = slim.groupBy("pair_id", "turn", "_said").agg(
         (F.max(F.col("chosen").cast("int")) - F.min(F.col("chosen").cast("int")) + 1).alias("_sides"),
         F.min(F.when(F.col("chosen"), F.col("conv_id"))).alias("_chosen_id"),
         F.min(F.when(~F.col("chosen"), F.col("conv_id"))).alias("_rejected_id"),
@@ -92,8 +88,7 @@ def format_pairs(sided: DataFrame) -> DataFrame:
         F.min("_chosen_id").alias("_chosen_id"),
         F.min("_rejected_id").alias("_rejected_id"),
     )
-    placed = once.select("pair_id", "piece").distinct().join(pairs, "pair_id")
-    whole = pieces.join(placed, ["pair_id", "piece"]).withColumns(
+    whole = turns.join(pairs, "pair_id").withColumns(
         {
             "_prompt": F.expr("filter(_chosen, x -> _from is null or x.turn < _from)"),
             "_chosen": F.expr("filter(_chosen, x -> x.turn >= _from)"),
@@ -102,7 +97,6 @@ def format_pairs(sided: DataFrame) -> DataFrame:
     )
     return whole.select(
         "pair_id",
-        "piece",
         F.col("_chosen_id").alias("chosen_id"),
         F.col("_rejected_id").alias("rejected_id"),
         F.size("_prompt").cast("long").alias("n_prompt_turns"),

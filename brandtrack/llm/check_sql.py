@@ -139,17 +139,17 @@ d as (
     select pair_id, min(case when sides = 1 then turn end) as first_other from both_sides group by pair_id
 ),
 s as (
-    select t.*, turn // {chat_format.PIECE} as piece,
+    select t.*,
         '{chat_format.HEAD}' || role || chr(10) || text || '<|im_end|>' || chr(10) as shown,
         first_other is null or turn < first_other as is_prompt
     from t join d using (pair_id)
 ),
 placed as (
-    select *, sum(length(shown)) over (partition by pair_id, piece, is_chosen, is_prompt order by turn, role, text)
+    select *, sum(length(shown)) over (partition by pair_id, is_chosen, is_prompt order by turn, role, text)
         as upto
     from s
 )
-select pair_id, piece, any_value(chosen_id) as chosen_id, any_value(rejected_id) as rejected_id,
+select pair_id, any_value(chosen_id) as chosen_id, any_value(rejected_id) as rejected_id,
     count(*) filter (where is_prompt and is_chosen) as n_prompt_turns,
     coalesce(string_agg(shown, '' order by turn, role, text) filter (where is_prompt and is_chosen), '') as prompt,
     coalesce(string_agg(shown, '' order by turn, role, text) filter (where not is_prompt and is_chosen), '') as chosen,
@@ -162,7 +162,7 @@ select pair_id, piece, any_value(chosen_id) as chosen_id, any_value(rejected_id)
         ',' order by turn, role, text)
         filter (where not is_prompt and not is_chosen and role = '{chat_format.LEARNED}'), '') as rejected_mask
 from placed join p using (pair_id)
-group by pair_id, piece
+group by pair_id
 """
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -214,14 +214,16 @@ def _draw(node: sharding.Node) -> str:
     return f"-ln((('0x' || {digits})::bigint + 0.5) / {1 << 52}::double) / {float(node.weight)}::double"
 
 
-def _descend(node: sharding.Node) -> str:
-    """The shard of a document by walking down: at each node the child with the least draw."""
-    if not node.children:
-        return str(node.shard)
-    if len(node.children) == 1:
-        return _descend(node.children[0])
-    least = f"least({', '.join(_draw(c) for c in node.children)})"
-    return "case " + " ".join(f"when {_draw(c)} = {least} then {_descend(c)}" for c in node.children) + " end"
+def _shard_of(tree: sharding.Node) -> str:
+    """The shard whose draw is least."""
+    leaves, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        todo += node.children
+        leaves += [] if node.children else [node]
+    leaves.sort(key=lambda leaf: leaf.shard)
+    draws = ", ".join(_draw(leaf) for leaf in leaves)
+    return f"{[leaf.shard for leaf in leaves]}[list_position([{draws}], list_min([{draws}]))]"
 
 
 TREE = sharding.even_tree(8)
@@ -229,8 +231,7 @@ OP9 = f"""
 with d as (
     select doc_id, coalesce(text, '') as text,
         regexp_extract_all(hex(encode(coalesce(text, ''))), '..') as pairs,
-        {_descend(TREE)} as shard, {_descend(sharding.grow(TREE))} as grown_shard,
-        ('0x' || substr(md5('slot:' || doc_id), 1, 8))::bigint % {sharding.SLICES} as slice
+        {_shard_of(TREE)} as shard, {_shard_of(sharding.even_tree(9))} as grown_shard
     from documents
 ),
 c as (
@@ -243,7 +244,8 @@ c as (
 )
 select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_crc32, 'key' as law,
     cast(shard as integer) as shard,
-    row_number() over (partition by shard order by slice, doc_id, text_crc32, size) - 1 as slot,
+    row_number() over (partition by shard order by ('0x' || substr(md5(concat_ws(':', 'slot', doc_id, cast(text_crc32 as bigint), size)), 1, 8))::bigint
+        % {sharding.SLICES}, doc_id, text_crc32, size) - 1 as slot,
     cast(grown_shard as integer) as grown_shard
 from c
 """

@@ -184,44 +184,38 @@ def plan_cuts(slim: DataFrame, mix: Mix, work: Workspace) -> tuple[DataFrame, in
     return work.keep(cuts, "cuts"), n_leaves
 
 
-def mix_documents(docs: DataFrame, mix: Mix = PRODUCTION, tokens: Column | None = None) -> DataFrame:
-    """The chosen rows with all their columns, ``domain``, ``n_tokens`` and ``copies``, how many epochs have them.
+def choose(docs: DataFrame, mix: Mix = PRODUCTION, tokens: Column | None = None) -> DataFrame:
+    """The chosen rows, whole in ``row``, with ``domain``, ``n_tokens`` and ``copies``, how many epochs have them.
 
-    Texts are read once for counting and once for the result; between, only ids and counts are kept. The result
-    needs no shuffle: a row compares its own key with its leaf's cut.
+    Rows are kept in a column of their own, so no name of theirs is in the way. Texts are read once for counting and
+    once for the result; between, only ids and counts are kept. The result needs no shuffle: a row compares its own
+    key with its leaf's cut.
     """
     work = Workspace(docs.sparkSession)
     measure = tokens if tokens is not None else n_words(F.col("text"))
     leaf = leaf_columns(mix, F.col("source"), F.col("lang"))
     text_key = F.concat(F.lit("text:"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    slim = work.keep(
-        docs.select(
-            "doc_id",
-            F.when(F.col("doc_id").isNull(), text_key).alias("text_key"),
-            *[column.alias(name) for name, column in leaf.items()],
-            measure.alias("n_tokens"),
-        ),
-        "measured",
-    )
-    cuts, n_leaves = plan_cuts(slim, mix, work)
-    renamed = cuts.select(
-        *[F.col(name).alias(f"_mix_{name}") for name in LEVELS],
-        F.col("epochs").alias("_mix_epochs"),
-        F.col("cut").alias("_mix_cut"),
-    ).filter("_mix_epochs > 0 or _mix_cut is not null")
-    side = F.broadcast(renamed) if n_leaves <= LEAF_BOUND else renamed
-    same = [column.eqNullSafe(F.col(f"_mix_{name}")) for name, column in leaf.items()]
-    joined = docs.join(side, same[0] & same[1] & same[2])
-    key = order_key(mix, F.col("_mix_epochs"), F.col("doc_id"), text_key)
-    fits = F.coalesce(key <= F.col("_mix_cut"), F.lit(False)).cast("int")
-    counted = joined.withColumn("_mix_copies", F.col("_mix_epochs").cast("int") + fits)
-    kept = counted.filter("_mix_copies > 0")
-    return kept.select(
-        *[docs[c] for c in docs.columns if c not in ("domain", "n_tokens", "copies")],
-        F.col("_mix_domain").alias("domain"),
-        measure.alias("n_tokens"),
-        F.col("_mix_copies").alias("copies"),
-    )
+    needed = {"doc_id": F.col("doc_id"), "text_key": F.when(F.col("doc_id").isNull(), text_key), **leaf, "n_tokens": measure}
+    columns = [column.alias(name) for name, column in needed.items()]
+    cuts, n_leaves = plan_cuts(work.keep(docs.select(*columns), "measured"), mix, work)
+    plan = cuts.select(*LEVELS, "epochs", "cut").filter("epochs > 0 or cut is not null")
+    plan = plan.withColumnsRenamed({name: f"cut_{name}" for name in LEVELS})
+    side = F.broadcast(plan) if n_leaves <= LEAF_BOUND else plan
+    rows = docs.select(F.struct("*").alias("row"), *columns)
+    same = [F.col(name).eqNullSafe(F.col(f"cut_{name}")) for name in LEVELS]
+    joined = rows.join(side, same[0] & same[1] & same[2])
+    key = order_key(mix, F.col("epochs"), F.col("doc_id"), F.col("text_key"))
+    fits = F.coalesce(key <= F.col("cut"), F.lit(False)).cast("int")
+    counted = joined.withColumn("copies", F.col("epochs").cast("int") + fits)
+    return counted.filter("copies > 0").select("row", "domain", "n_tokens", "copies")
+
+
+def mix_documents(docs: DataFrame, mix: Mix = PRODUCTION, tokens: Column | None = None) -> DataFrame:
+    """The chosen rows with their columns, and with ``domain``, ``n_tokens`` and ``copies`` in place of input columns of
+    these names; ``choose`` keeps the latter."""
+    added = ("domain", "n_tokens", "copies")
+    chosen = choose(docs, mix, tokens)
+    return chosen.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 def digest(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:

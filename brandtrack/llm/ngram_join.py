@@ -121,11 +121,12 @@ class Alike:
     def bands(self) -> list[int]:
         """The least size of each band: a set can only be alike to sets of its own and the next bands' sizes.
 
-        A band is as wide as two times the largest ratio of sizes, in which fewer sets are cut by two schemes.
+        A band is as wide as two times the largest ratio of sizes, in which fewer sets are cut by two schemes, and by an
+        eighth at least, so that ``MOST_BANDS`` hold all sizes whatever the threshold.
         """
         lows = [1]
         while len(lows) < MOST_BANDS and lows[-1] < 1 << 40:
-            lows.append(lows[-1] * self.den**2 // self.num**2 + 1)
+            lows.append(max(lows[-1] * self.den**2 // self.num**2, lows[-1] * 9 // 8) + 1)
         return lows
 
     def scheme(self, band: int, n_sets: int) -> Scheme | None:
@@ -598,11 +599,12 @@ def keep_one(docs: DataFrame, alike: Alike = NEAR_DUPLICATES) -> DataFrame:
     several = known.groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most")).filter("least <> most")
     several = work.keep(several.select(F.col("doc_id").alias("_several")), "several")
     n_several = several.count()
-    nodes = docs.withColumn("_node", F.col("doc_id"))
+    rows = docs.select("doc_id", "text", F.struct("*").alias("_row"))  # no name of the input's is in the way
+    nodes = rows.withColumn("_node", F.col("doc_id"))
     if n_several:
         side = F.broadcast(several) if n_several <= ID_BOUND else several
         own = F.when(F.col("_several").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "text"))
-        nodes = docs.join(side, F.col("doc_id") == F.col("_several"), "left").withColumn("_node", own)
+        nodes = rows.join(side, F.col("doc_id") == F.col("_several"), "left").withColumn("_node", own)
     found = work.keep(join_components(nodes.select(F.col("_node").alias("doc_id"), "text"), alike), "components")
     per_node = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("node"), "component_id", "n_shingles")
     per_node = work.keep(per_node.agg(F.count(F.lit(1)).alias("n")), "nodes")
@@ -628,4 +630,4 @@ def keep_one(docs: DataFrame, alike: Alike = NEAR_DUPLICATES) -> DataFrame:
     if repeated:
         again = F.coalesce("_again", F.lit(False))
         one = one.filter(~again).union(one.filter(again).dropDuplicates(["_node"]))
-    return one.select(*docs.columns)
+    return one.select("_row.*")

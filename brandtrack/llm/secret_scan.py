@@ -1,10 +1,12 @@
 """Secret scans with a linear-chain conditional random field.
 
 Texts are cut into words and marks, and each gets a tag: a secret begins, goes on, or neither. Its features are its
-own shape, the kinds of the two tokens before and the one after it, and two of its file: how many marks there are
+own shape (length, characters, how mixed they are and how they begin), the kinds of the two tokens before and the one after it, and two of its file: how many marks there are
 among its tokens, and whether it names a credential. Weights are fitted here by maximum likelihood, on windows of
-at most ``TRAIN_DOCS`` documents, where the values of fixed patterns are the secrets; the best tags are found by
-Viterbi.
+at most ``TRAIN_DOCS`` documents, half of them with a value of the fixed patterns wherever there are so many. The secrets
+to learn from are these values, and as many made ones: random strings of many alphabets, lengths and prefixes put into
+the documents' own words, mostly without a credential's name before them, beside as many harmless values. So shape and
+context must carry, and not the patterns' own marks. The best tags are found by Viterbi.
 
 A sum of weights bounds what tagging a token as part of a secret can gain, both of its transitions included. Where
 it can't gain, neither is the tag on every best path, and Viterbi runs only on the stretches between such tokens:
@@ -13,20 +15,22 @@ the same tags as over the whole text, without a step for each word of prose.
 The fixed patterns' spans are always kept; the field adds spans, kind ``field``, that overlap none of them.
 
 Defined results: a null or empty text has no spans; offsets are in code points of the whole text, end excluded;
-repeated rows are scanned each; an empty table, or one without secrets to learn from, adds no spans; columns
+repeated rows are scanned each; an empty table, or one whose texts have no word, adds no spans; columns
 other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .token_counts import blocks
@@ -45,22 +49,28 @@ PATTERNS = (
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 32),
 )
+#: What texts with such a value match; others may.
+MAY_MATCH = (
+    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}"""
+    r"""|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"""
+)
 LONG_HEX = re.compile(r"[0-9a-f]{32,}")  # the hex runs that are long enough
 KINDS = ("assign", "access", "hex", "field")
 
 #: Bound of the training sample, in documents, and of the windows taken from each.
-TRAIN_DOCS = 8_000
-WINDOWS_PER_DOC = 6
-REACH = 12
-ROUNDS = 100
+TRAIN_DOCS = 4_000
+WINDOWS_PER_DOC = 2
+REACH = 10
+ROUNDS = 120
 
 TOKEN = re.compile(r"[\w+/.\-@]+|[^\w\s+/.\-@]")
 CREDENTIAL = re.compile(r"(?i)passw|secret|token|api_?key|credential|bearer|auth")
 KNOWN_START = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abp]-|eyJ")
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 LENGTHS = np.array([4, 8, 12, 16, 24, 32, 48])
-N_SETS, N_KINDS, N_FILES = 9, 8, 8
-N_SHAPES = (len(LENGTHS) + 1) * N_SETS * 4
+N_LENGTHS, N_SETS, N_MIXED, N_KINDS, N_FILES = len(LENGTHS) + 1, 9, 16, 8, 8
+#: How many values each column of features has: length, characters, mix, neighbours before, two before and after, file.
+SIZES = (N_LENGTHS, N_SETS, N_MIXED, N_KINDS, N_KINDS, N_KINDS, N_FILES)
 #: Kinds of a neighbour.
 WORD, NAME, EQUALS, COLON, QUOTE, MARK, CODE, EDGE = range(N_KINDS)
 BREAK = "\0"  # two of them stand between texts
@@ -80,43 +90,44 @@ def _char_set(token: str) -> int:
     return 6
 
 
-def shape(token: str) -> tuple[int, int]:
-    """The token's shape and its kind as a neighbour."""
+def _changes(token: str) -> int:
+    """How often letters and digits, or lower and upper case, take turns; a first capital is none."""
+    kinds = ["0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "" for c in token]
+    kinds = [k for k in kinds if k]
+    return sum(a != b for a, b in zip(kinds[1:], kinds[2:]))
+
+
+def shape(token: str) -> tuple[int, int, int, int]:
+    """The token's length, characters and mix, and its kind as a neighbour."""
     if token == BREAK:
-        return 0, EDGE
+        return 0, 0, 0, EDGE
     if len(token) == 1 and not token.isalnum():
         kind = {"=": EQUALS, ":": COLON, '"': QUOTE, "'": QUOTE, "`": QUOTE}.get(token, MARK)
-        return 7, kind
+        return 0, 7, 0, kind
     chars = _char_set(token)
     bucket = int(np.searchsorted(LENGTHS, len(token), side="right"))
+    changes = int(np.searchsorted([1, 3, 6], _changes(token), side="right"))
     varied = len(set(token)) * 3 >= min(len(token), 30)
     known = KNOWN_START.match(token) is not None
-    code = ((bucket * N_SETS + chars) * 2 + varied) * 2 + known
+    mixed = (changes * 2 + varied) * 2 + known
     if CREDENTIAL.search(token) and len(token) <= 24:
-        return code, NAME
-    return code, CODE if chars >= 4 and len(token) >= 8 else WORD
+        return bucket, chars, mixed, NAME
+    return bucket, chars, mixed, CODE if chars >= 4 and len(token) >= 8 else WORD
 
 
 @dataclass(frozen=True)
 class Field:
-    """Weights by tag (columns) of shapes, neighbours before, two before and after, files, and tag to tag."""
+    """Weights by tag (columns) for each column of features, and tag to tag."""
 
-    shape: np.ndarray
-    before: np.ndarray
-    before2: np.ndarray
-    after: np.ndarray
-    file: np.ndarray
+    tables: tuple[np.ndarray, ...]
     step: np.ndarray
 
     def emission(self, x: np.ndarray) -> np.ndarray:
-        """``x`` has columns shape, before, before2, after, file."""
-        tables = (self.shape, self.before, self.before2, self.after, self.file)
-        return sum(table[x[..., k]] for k, table in enumerate(tables))
+        return sum(table[x[..., k]] for k, table in enumerate(self.tables))
 
     def may_gain(self, x: np.ndarray) -> np.ndarray:
         """Whether a token may be part of a secret on a best path."""
-        tables = (self.shape, self.before, self.before2, self.after, self.file)
-        bound = sum((t[:, 1:].max(axis=1) - t[:, 0])[x[:, k]] for k, t in enumerate(tables))
+        bound = sum((t[:, 1:].max(axis=1) - t[:, 0])[x[:, k]] for k, t in enumerate(self.tables))
         return bound + 2 * (self.step.max() - self.step.min()) >= 0
 
     def tags(self, emission: np.ndarray) -> list[int]:
@@ -139,7 +150,7 @@ class Features:
     """Token features of texts; remembers shapes of short tokens."""
 
     def __init__(self, known: int = 200_000):
-        self.shapes: dict[str, tuple[int, int]] = {}
+        self.shapes: dict[str, tuple[int, int, int, int]] = {}
         self.known = known
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,7 +166,7 @@ class Features:
         codes, distinct = pd.factorize(np.array(tokens, dtype=object))
         if len(self.shapes) > self.known:
             self.shapes.clear()
-        table = np.empty((len(distinct), 2), dtype=np.int64)
+        table = np.empty((len(distinct), 4), dtype=np.int64)
         for i, token in enumerate(distinct):
             found = self.shapes.get(token)
             if found is None:
@@ -164,7 +175,7 @@ class Features:
                     self.shapes[token] = found
             table[i] = found
         sizes = np.fromiter(map(len, distinct), dtype=np.int64, count=len(distinct))[codes]
-        shapes, kinds = table[codes].T
+        kinds = table[codes, 3]
         counts = np.array(counts, dtype=np.int64)
         owner = np.full(len(tokens), -1, dtype=np.int64)
         owner[: -2] = np.repeat(np.arange(len(texts)), counts + 2)
@@ -177,11 +188,11 @@ class Features:
         file = share * 2 + names
         x = np.stack(
             [
-                shapes,
+                *table[codes, :3].T,
                 np.concatenate([[EDGE], kinds[:-1]]),
                 np.concatenate([[EDGE, EDGE], kinds[:-2]]),
                 np.concatenate([kinds[1:], [EDGE]]),
-                np.where(owner >= 0, file[np.maximum(owner, 0)], 0) if len(texts) else shapes,
+                np.where(owner >= 0, file[np.maximum(owner, 0)], 0) if len(texts) else kinds,
             ],
             axis=1,
         )
@@ -212,32 +223,105 @@ def as_text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in ordered)
 
 
-def training_windows(text: str, features: Features) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Features and tags around secrets and another token with digits or of mixed case, else at the start."""
-    x, owner, longest = features.of([text])
-    n = int((owner >= 0).sum())
-    if not n:
-        return []
+#: Alphabets of made secrets, and what they may begin with.
+DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = (
+    LOWER + LOWER.upper() + DIGITS, LOWER + LOWER.upper() + DIGITS + "+/", LOWER + LOWER.upper() + DIGITS + "-_",
+    LOWER + DIGITS, LOWER.upper() + DIGITS, "0123456789abcdef",
+)
+
+
+def made_secret(rng: random.Random) -> str:
+    """A random string, at times in dotted parts or behind a short prefix."""
+    body = lambda low, high: "".join(rng.choices(alphabet, k=rng.randrange(low, high)))
+    alphabet = rng.choice(ALPHABETS)
+    if rng.random() < 0.12:
+        return ".".join(body(14, 40) for _ in range(3))
+    start = "".join(rng.choices(LOWER, k=rng.randrange(2, 6))) + rng.choice("_-") if rng.random() < 0.35 else ""
+    return start + body(14, 48)
+
+
+def harmless(rng: random.Random, words: list[str]) -> str:
+    """What stands in the same places and is no secret."""
+    number = lambda n: "".join(rng.choices(DIGITS, k=n))
+    word = lambda: re.sub(r"\W", "", rng.choice(words)) or "x"
+    uuid = "-".join("".join(rng.choices("0123456789abcdef", k=n)) for n in (8, 4, 4, 4, 12))
+    return rng.choice([
+        word(), word() + number(2), f"{word()}_{word()}", f"{word()}-{word()}-{word()}", f"{word()}.{word()}.com/{word()}/{number(3)}",
+        f"https://{word()}.org/{word()}/{word()}-{number(4)}", f"{word()}@{word()}.net", f"/{word()}/{word()}/{word()}.py", number(5),
+        number(11), f"2{number(3)}-0{number(1)}-1{number(1)}", f"{number(1)}.{number(2)}.{number(1)}", f"192.168.{number(1)}.{number(2)}",
+        word() * 3, (word() + word()).title(), uuid, f"v{number(1)}.{number(1)}.{number(1)}-{word()}", f"{word()}{word().title()}{word().title()}",
+    ])
+
+
+def with_made_value(text: str, rng: random.Random) -> tuple[str, int, int, bool]:
+    """The text with a value put between two of its words: the value's place, and whether it is a secret."""
+    words = text.split() or ["x"]
+    secret = rng.random() < 0.5
+    value = made_secret(rng) if secret else harmless(rng, words)
+    name = rng.choice([rng.choice(words), rng.choice(words), "_".join(rng.choices(words, k=2)), "key", "Token", "auth", ""])
+    mark = rng.choice([" = ", "=", ": ", ":", " ", " "]) if name else ""
+    quote = rng.choice(['"', "'", "", "", ""])
+    gaps = [m.start() for m in re.finditer(r"\s", text)] or [len(text)]
+    at = rng.choice(gaps)
+    before = f"{text[:at]} {name}{mark}{quote}"
+    return f"{before}{value}{quote} {text[at:]}", len(before), len(before) + len(value), secret
+
+
+def _tags(text: str, spans: list[tuple[int, int]], n: int) -> np.ndarray:
+    """The tags of a text's ``n`` tokens; of spans that overlap the first counts."""
     tags = np.zeros(n, dtype=np.int64)
     at = np.array([m.span() for m in TOKEN.finditer(text)], dtype=np.int64)
-    for _, _, _, start, end in base_spans(text, int(longest[0])):
+    for start, end in spans:
         inside = np.flatnonzero((at[:, 0] < end) & (at[:, 1] > start))
-        fresh = inside[tags[inside] == OUTSIDE]
-        if fresh.size == inside.size:
+        if not tags[inside].any():
             tags[inside] = INSIDE
             tags[inside[:1]] = BEGIN
-    sets = x[:n, 0] // 4 % N_SETS
+    return tags
+
+
+def _cut(x: np.ndarray, tags: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """The window around some tokens, widened to where no secret is cut."""
+    low, high = max(0, first - REACH), min(len(tags), last + REACH)
+    while low > 0 and tags[low] != OUTSIDE:
+        low -= 1
+    while high < len(tags) and tags[high - 1] != OUTSIDE:
+        high += 1
+    return x[low:high], tags[low:high]
+
+
+def _windows(text: str, spans: list[tuple[int, int]], others: int, features: Features) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and tags around secrets and some other tokens with digits or of mixed case, else at the start."""
+    x, owner, _ = features.of([text])
+    n = int((owner >= 0).sum())
+    if not n:
+        return []
+    tags = _tags(text, spans, n)
     secret = np.flatnonzero(tags == BEGIN)
-    other = np.flatnonzero((tags == OUTSIDE) & (sets >= 2) & (sets != 7))
-    windows = []
-    for center in [*secret[:WINDOWS_PER_DOC], *other[:1]] or [0]:
-        low, high = max(0, center - REACH), min(n, center + REACH + 1)
-        while low > 0 and tags[low] != OUTSIDE:
-            low -= 1
-        while high < n and tags[high - 1] != OUTSIDE:
-            high += 1
-        windows.append((x[low:high], tags[low:high]))
-    return windows
+    other = np.flatnonzero((tags == OUTSIDE) & (x[:n, 1] >= 2) & (x[:n, 1] != 7))
+    return [_cut(x, tags, c, c + 1) for c in [*secret[:WINDOWS_PER_DOC], *other[:others]] or [0]]
+
+
+def training_windows(text: str, features: Features) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows of the text as it is, and around one value put into it. The same text gives the same windows."""
+    if not text.split():
+        return []
+    known = [(start, end) for *_, start, end in base_spans(text)]
+    found = _windows(text, known, 1, features)
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    longer, start, end, secret = with_made_value(text, rng)
+    low, high = max(0, start - 400), end + 400
+    near = longer[low:high]
+    spans = [(s, e) for *_, s, e in base_spans(near)]
+    if secret:
+        spans = [(start - low, end - low), *[(s, e) for s, e in spans if e <= start - low or s >= end - low]]
+    x, owner, _ = features.of([near])
+    tagged = _windows(near, spans, 0, features)
+    if not secret:  # around the harmless value
+        at = [i for i, m in enumerate(TOKEN.finditer(near)) if m.start() < end - low and m.end() > start - low]
+        tags = _tags(near, spans, int((owner >= 0).sum()))
+        tagged = [_cut(x, tags, at[0], at[-1] + 1)] if at and not tags[at].any() else []
+    return found + tagged
 
 
 def fit(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS) -> Field | None:
@@ -246,12 +330,12 @@ def fit(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS) -> F
         return None
     widest = max(len(tags) for _, tags in windows)
     n = len(windows)
-    x = np.zeros((n, widest, 5), dtype=np.int64)
+    x = np.zeros((n, widest, len(SIZES)), dtype=np.int64)
     y = np.zeros((n, widest), dtype=np.int64)
     real = np.zeros((n, widest), dtype=bool)
     for i, (features, tags) in enumerate(windows):
         x[i, : len(tags)], y[i, : len(tags)], real[i, : len(tags)] = features, tags, True
-    sizes = (N_SHAPES, N_KINDS, N_KINDS, N_KINDS, N_FILES, 3)
+    sizes = (*SIZES, 3)
     weights = [np.zeros((size, 3)) for size in sizes]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     ends = real.sum(axis=1)
@@ -262,11 +346,11 @@ def fit(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS) -> F
     last = y[np.arange(n), ends - 1]
     np.add.at(true_steps, (last, np.zeros(n, dtype=np.int64)), 1)
     for t in range(1, rounds + 1):
-        field = Field(*weights)
+        field = Field(tuple(weights[:-1]), weights[-1])
         share, steps = _expected(field, field.emission(x), real, ends)
         wrong = share * real[..., None] - truth
         grads = []
-        for k in range(5):
+        for k in range(len(SIZES)):
             flat = x[..., k].ravel()
             each = [np.bincount(flat, wrong[..., tag].ravel(), sizes[k]) for tag in range(3)]
             grads.append(np.stack(each, axis=1))
@@ -277,7 +361,7 @@ def fit(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = ROUNDS) -> F
             second[k] = 0.99 * second[k] + 0.01 * grad**2
             move = first[k] / (1 - 0.9**t) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
             weights[k] = weights[k] - 0.1 * move
-    return Field(*weights)
+    return Field(tuple(weights[:-1]), weights[-1])
 
 
 def _expected(field: Field, emission: np.ndarray, real: np.ndarray, ends: np.ndarray):
@@ -308,7 +392,8 @@ def _expected(field: Field, emission: np.ndarray, real: np.ndarray, ends: np.nda
 
 
 def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field | None:
-    """A field from the documents whose ids hash lowest; only features of windows come to the driver."""
+    """A field from the documents whose ids hash lowest, of those with and of those without a value of the fixed patterns
+    half each; only features of windows come to the driver."""
 
     @F.pandas_udf("array<binary>")
     def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -320,13 +405,16 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field | None:
                 found.append([np.c_[x, tags].astype(np.int16).tobytes() for x, tags in cut])
             yield pd.Series(found, index=batch.index, dtype=object)
 
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct()
-    drawn = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    each = Window.partitionBy("has").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = docs.filter("doc_id is not null").select("doc_id", F.coalesce(F.col("text").rlike(MAY_MATCH), F.lit(False)).alias("has"))
+    ids = ids.groupBy("doc_id").agg(F.max("has").alias("has"))
+    drawn = ids.withColumn("rank", F.row_number().over(each)).filter(F.col("rank") <= rows // 2).select("doc_id")
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # TRAIN_DOCS ids at most
     one = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     sample = sorted(one.select("doc_id", windows("text").alias("w")).collect(), key=lambda row: row["doc_id"])
-    cut = [np.frombuffer(w, dtype=np.int16).reshape(-1, 6).astype(np.int64) for row in sample for w in row["w"]]
-    return fit([(w[:, :5], w[:, 5]) for w in cut])
+    width = len(SIZES) + 1
+    cut = [np.frombuffer(w, dtype=np.int16).reshape(-1, width).astype(np.int64) for row in sample for w in row["w"]]
+    return fit([(w[:, :-1], w[:, -1]) for w in cut])
 
 
 def field_spans(text: str, x: np.ndarray, field: Field) -> list[tuple[int, int]]:

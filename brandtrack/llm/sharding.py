@@ -1,9 +1,11 @@
 """Sharding by a weighted hash tree.
 
-A tree has regions, regions have racks, racks have shards. A row descends from the root: at each node every child
-draws a number from the row's id and the child's name, scaled by the child's weight, and the best draw wins. A
-child's draws depend on nothing but the id, its name and its weight, so a changed weight moves rows only into or
-out of the subtree where it changes, and the shares follow the weights. Law: ``key``.
+A tree has regions, regions have racks, racks have shards. Each shard draws a number from the row's id and its own
+name, scaled by its weight; a rack's draw is the best of its shards', a region's the best of its racks', so that the
+draws of each level follow the weights of its subtrees. A row descends from the root to the child with the best draw.
+A shard's draws depend on nothing but the id, its name and its weight, so a changed weight, or one more shard
+anywhere, moves rows only into or out of that shard, and the shares follow the weights. Law: ``key``. It holds from any
+number of shards to the next: where a row goes does not depend on how the tree came to its shards.
 
 Defined results: a null id draws as the text ``null``; a null text has size 1 and checksum 0; repeated rows follow
 their id into the same shard and get slots of their own; an empty table gives an empty result; other columns pass
@@ -13,7 +15,6 @@ through, and result columns win over input columns of the same name.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,15 +59,10 @@ def shards_of(tree: Node) -> list[int]:
 
 
 def grow(tree: Node, weight: float = 1.0) -> Node:
-    """The tree with one more shard, in a region of its own.
-
-    No other subtree changes its weight, so rows move into the new shard only.
-    """
+    """The tree with one more shard, in a region of its own. Rows move into the new shard only."""
     new = max(shards_of(tree)) + 1
     shard = Node(f"shard{new}", own_weight=weight, shard=new)
-    rack = Node(f"rack-of-{new}", children=(shard,))
-    region = Node(f"region-of-{new}", children=(rack,))
-    return replace(tree, children=(*tree.children, region))
+    return replace(tree, children=(*tree.children, Node(f"region-of-{new}", children=(Node(f"rack-of-{new}", children=(shard,)),))))
 
 
 def reweigh(tree: Node, weights: dict[int, float]) -> Node:
@@ -83,19 +79,18 @@ def _draw(key: Column, node: Node) -> Column:
     return -F.log(uniform) / F.lit(float(node.weight))
 
 
+def best_draw(key: Column, node: Node) -> Column | None:
+    """The best draw below a node and the shard that it leads to; nothing where no shard takes rows."""
+    if not node.children:
+        return F.struct(_draw(key, node).alias("draw"), F.lit(node.shard).alias("shard")) if node.weight > 0 else None
+    draws = [d for child in node.children if (d := best_draw(key, child)) is not None]
+    return F.least(*draws) if len(draws) > 1 else draws[0] if draws else None
+
+
 def descend(key: Column, tree: Node) -> Column:
-    """The shard of a key, a string column. Children of weight 0 take no rows."""
-    if not tree.children:
-        return F.lit(tree.shard)
-    children = [c for c in tree.children if c.weight > 0]
-    if not children:
-        return F.lit(None).cast("int")
-    if len(children) == 1:
-        return descend(key, children[0])
-    draws = [F.struct(_draw(key, c).alias("draw"), F.lit(i).alias("child")) for i, c in enumerate(children)]
-    won = F.least(*draws)["child"]
-    cases = [(won == i, descend(key, c)) for i, c in enumerate(children)]
-    return reduce(lambda chain, case: chain.when(*case), cases[1:], F.when(*cases[0]))
+    """The shard of a key, a string column. Shards of weight 0 take no rows."""
+    best = best_draw(key, tree)
+    return F.lit(None).cast("int") if best is None else best["shard"]
 
 
 def assign(docs: DataFrame, tree: Node, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,29 +109,29 @@ def assign(docs: DataFrame, tree: Node, id_col: str = "doc_id", text_col: str =
 
 
 def _slice(id_col: str) -> Column:
+    """A slice by id, checksum and size, so that the rows of one id, however many, do not share one."""
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    digits = F.substring(F.md5(F.concat(F.lit("slot:"), key)), 1, 8)
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit("slot"), key, "text_crc32", "size")), 1, 8)
     return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(SLICES)).cast("int")
 
 
 def with_slots(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows with ``slot``, numbers from 0 without gaps in each shard.
 
-    A shard may hold any share of all rows, so it is cut into slices by a hash of the id. The slices are counted,
+    A shard may hold any share of all rows, so it is cut into slices by a hash. The slices are counted,
     which takes no text, their first slots follow from the counts, and rows are numbered slice by slice. The
     counts that are broadcast have a row for each shard and slice at most, whatever the input.
     """
-    sliced = rows.withColumn("_slice", _slice(id_col))
-    counts = sliced.groupBy("shard", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select(
-        "shard", "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first")
-    )
-    inside = Window.partitionBy("shard", "_slice").orderBy(id_col, "text_crc32", "size")
+    order = [F.col(c).alias(f"_{c}") for c in ("text_crc32", "size")]
+    row = F.struct(*[c for c in rows.columns if c != "slot"]).alias("_row")
+    sliced = rows.select(row, F.col("shard").alias("_shard"), _slice(id_col).alias("_slice"), F.col(id_col).alias("_id"), *order)
+    counts = sliced.groupBy("_shard", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("_shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("_shard", "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy("_shard", "_slice").orderBy("_id", "_text_crc32", "_size")
     numbered = sliced.withColumn("_place", F.row_number().over(inside))
-    placed = numbered.join(F.broadcast(first), ["shard", "_slice"])
-    slot = (F.col("_first") + F.col("_place") - 1).cast("long")
-    return placed.withColumn("slot", slot).drop("_slice", "_place", "_first")
+    placed = numbered.join(F.broadcast(first), ["_shard", "_slice"])
+    return placed.select("_row.*", (F.col("_first") + F.col("_place") - 1).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

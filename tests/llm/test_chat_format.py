@@ -18,7 +18,7 @@ def spans(turns):
 
 
 def plain(rows):
-    """Pairs and their pieces from rows ``(conv_id, turn, role, text)``."""
+    """Pairs from rows ``(conv_id, turn, role, text)``."""
     convs = {}
     for conv, turn, role, text in rows:
         if conv is not None and turn is not None:
@@ -28,15 +28,14 @@ def plain(rows):
         a, b = (convs.get(2 * pair + k, set()) for k in (0, 1))
         first = min((t for t, _, _ in a ^ b), default=None)
         shared = lambda t: first is None or t[0] < first
-        for piece in {t[0] // cf.PIECE for t in a | b}:
-            here = [sorted(t for t in side if t[0] // cf.PIECE == piece) for side in (a, b)]
-            prompt = [t for t in here[0] if shared(t)]
-            chosen, rejected = ([t for t in side if not shared(t)] for side in here)
-            ids = tuple(2 * pair + k if 2 * pair + k in convs else None for k in (0, 1))
-            found.add(
-                (pair, piece, *ids, len(prompt), show(prompt), show(chosen), show(rejected))
-                + tuple(",".join(f"{s}:{e}" for s, e in spans(x)) for x in (chosen, rejected))
-            )
+        here = [sorted(side) for side in (a, b)]
+        prompt = [t for t in here[0] if shared(t)]
+        chosen, rejected = ([t for t in side if not shared(t)] for side in here)
+        ids = tuple(2 * pair + k if 2 * pair + k in convs else None for k in (0, 1))
+        found.add(
+            (pair, *ids, len(prompt), show(prompt), show(chosen), show(rejected))
+            + tuple(",".join(f"{s}:{e}" for s, e in spans(x)) for x in (chosen, rejected))
+        )
     return found
 
 
@@ -78,6 +77,14 @@ def test_masks_cut_what_the_assistant_says(spark):
     assert [row["rejected"][s["start"] : s["end"]] for s in row["rejected_mask"]] == ["no<|im_end|>\n"]
 
 
+def test_a_long_pair_is_one_row(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{t}" if t < 400 else f"{c}-{t}") for c in (0, 1) for t in range(600)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (row,) = cf.format_pairs(cf.sides(frame)).collect()
+    assert row["n_prompt_turns"] == 400 and len(row["chosen_mask"]) == 100
+    assert [row["rejected"][s["start"] : s["end"]] for s in row["rejected_mask"]][-1] == "1-599<|im_end|>\n"
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert cf.digest(frame).collect() == []

@@ -34,3 +34,13 @@ def test_rows_without_words_stay_and_repeated_rows_go(spark):
 def test_ids_and_kept_nodes_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(nj, "ID_BOUND", 0)
     test_unlike_texts_of_one_id_both_stay(spark)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["_node", "_several", "_kept", "_again", "_row", "node", "component_id", "h"]
+    rows = [(5, words("a"), *range(8)), (5, words("b"), *range(8)), (6, words("a"), *range(8)), (7, None, *range(8))]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'{n} int' for n in names)}")
+    out = nj.keep_one(docs)
+    assert out.columns == docs.columns
+    got = sorted(tuple(r) for r in out.collect() if r["text"])
+    assert got == [(5, words("a"), *range(8)), (5, words("b"), *range(8))] and out.count() == 3

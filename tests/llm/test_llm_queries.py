@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(q.oracle_sql()))
 def test_query_matches_check_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations", "pages"):
+    for table in ("documents", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = q.queries()[name](spark, SF)
     expected = con.sql(q.oracle_sql()[name])

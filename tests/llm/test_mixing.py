@@ -75,3 +75,14 @@ def test_columns_pass_through_and_empty_tables(spark):
         "doc_id": 1, "text": "a b", "lang": "en", "source": "s", "extra": "x", "domain": "web", "n_tokens": 2, "copies": 1
     }
     assert mixing.mix_documents(docs.limit(0)).collect() == []
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["domain", "n_tokens", "copies", "row", "epochs", "cut", "text_key", "_copy", "cut_domain", "_mix_cut"]
+    data = [(*r, *["mine"] * len(names)) for r in rows(1, 60)]
+    docs = spark.createDataFrame(data, f"doc_id long, text string, lang string, source string, {', '.join(f'{n} string' for n in names)}")
+    got = mixing.choose(docs, MIXES[1]).select("row.*")
+    assert got.columns == docs.columns and got.count() > 5
+    assert {tuple(r)[4:] for r in got.collect()} == {("mine",) * len(names)}
+    plain = mixing.digest(docs.drop(*names), MIXES[1])
+    assert sorted(r["doc_id"] or 0 for r in got.collect()) == sorted(r["doc_id"] or 0 for r in plain.collect())

@@ -158,3 +158,35 @@ def test_components_of_paths_stars_and_cycles(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     found = {r["node"]: r["component"] for r in components(df, Workspace(spark), "t").collect()}
     assert found == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 140)} | {201: 200, 202: 200}
+
+
+@pytest.mark.parametrize("num", [95, 99])
+def test_thresholds_near_one_lose_no_link(spark, num):
+    """Sets far beyond the sizes at which narrow bands would end."""
+    alike = nj.Alike(2, num, 100)
+    lows = alike.bands()
+    assert len(lows) <= nj.MOST_BANDS and lows[-1] >= 1 << 40
+    rng = random.Random(num)
+    rows = []
+    for k, size in enumerate((300, 6_000, 60_000)):
+        words = [f"w{k}x{i}" for i in range(size)]
+        near, far = list(words), list(words)
+        for i in rng.sample(range(size), max(1, size * (100 - num) // 1000)):
+            near[i] = "other"
+        for i in rng.sample(range(size), size * (100 - num) // 100 + 2):
+            far[i] = "more"
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(near)), (10 * k + 2, " ".join(far)), (10 * k + 3, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in nj.join_components(docs, alike).select("doc_id", "n_shingles", "component_id").collect()), key=repr)
+    assert got == sorted(brute(rows, alike), key=repr)
+    assert sum(i != c for i, _, c in got) >= 5
+
+
+def test_components_that_do_not_settle_are_an_error(spark, monkeypatch):
+    from brandtrack.llm import components as module
+
+    edges = spark.range(40).selectExpr("id as a", "id + 1 as b")
+    assert {r["component"] for r in components(edges, Workspace(spark), "path").collect()} == {0}
+    monkeypatch.setattr(module, "MOST_ROUNDS", 2)
+    with pytest.raises(RuntimeError, match="did not settle"):
+        components(edges, Workspace(spark), "path")

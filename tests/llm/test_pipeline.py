@@ -101,7 +101,7 @@ def test_stages_take_empty_tables(spark, name):
 
 def test_all_are_registered_and_the_rest_works_without_them():
     names = list(entry_point.queries())
-    assert [n for n in range(1, 11) if not any(name.startswith(f"op{n}_") for name in names)] == []
+    assert [n for n in range(1, 14) if not any(name.startswith(f"op{n}_") for name in names)] == []
     assert "pipeline" in names
     code = (
         "import sys; sys.modules['brandtrack.llm'] = None; import __spark_entry__ as e; "
