@@ -37,9 +37,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights choose, each ``copies`` times."""
-    chosen = mixing.mix_documents(docs, MIX)
-    each = chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return each.select(*docs.columns)
+    each = mixing.choose(docs, MIX).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
