@@ -9,7 +9,7 @@ the documents' own words, mostly without a credential's name before them, beside
 context must carry, and not the patterns' own marks. The best tags are found by Viterbi.
 
 A sum of weights bounds what tagging a token as part of a secret can gain, both of its transitions included. Where
-it can't gain, neither is the tag on every best path, and Viterbi runs only on the stretches between such tokens:
+it can't gain, the tag is on no best path, and Viterbi runs only on the stretches between such tokens:
 the same tags as over the whole text, without a step for each word of prose.
 
 The fixed patterns' spans are always kept; the field adds spans, kind ``field``, that overlap none of them.
@@ -27,6 +27,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -49,11 +50,9 @@ PATTERNS = (
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 32),
 )
-#: What texts with such a value match; others may.
-MAY_MATCH = (
-    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}"""
-    r"""|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"""
-)
+#: The first pattern's values as Spark sees them, and words of which a text that has one holds one.
+ASSIGNED = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}"""
+NAMED = ("passw", "secret", "token", "api")
 LONG_HEX = re.compile(r"[0-9a-f]{32,}")  # the hex runs that are long enough
 KINDS = ("assign", "access", "hex", "field")
 
@@ -126,9 +125,13 @@ class Field:
         return sum(table[x[..., k]] for k, table in enumerate(self.tables))
 
     def may_gain(self, x: np.ndarray) -> np.ndarray:
-        """Whether a token may be part of a secret on a best path."""
-        bound = sum((t[:, 1:].max(axis=1) - t[:, 0])[x[:, k]] for k, t in enumerate(self.tables))
-        return bound + 2 * (self.step.max() - self.step.min()) >= 0
+        """Whether a token may be part of a secret on a best path: whether either tag can be worth more than outside
+        between any two neighbours."""
+        step, gains = self.step, []
+        for tag in (BEGIN, INSIDE):
+            between = (step[:, tag] - step[:, OUTSIDE]).max() + (step[tag] - step[OUTSIDE]).max()
+            gains.append(sum((t[:, tag] - t[:, OUTSIDE])[x[:, k]] for k, t in enumerate(self.tables)) + between)
+        return np.maximum(*gains) >= 0
 
     def tags(self, emission: np.ndarray) -> list[int]:
         """Viterbi between two tokens outside."""
@@ -406,7 +409,10 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field | None:
             yield pd.Series(found, index=batch.index, dtype=object)
 
     each = Window.partitionBy("has").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.filter("doc_id is not null").select("doc_id", F.coalesce(F.col("text").rlike(MAY_MATCH), F.lit(False)).alias("has"))
+    text = F.col("text")
+    named = reduce(Column.__or__, [F.lower(text).contains(name) for name in NAMED])
+    has = (named & text.rlike(ASSIGNED)) | (text.contains("AKIA") & text.rlike("AKIA[A-Z0-9]{12}")) | text.rlike("[0-9a-f]{32}")
+    ids = docs.filter("doc_id is not null").select("doc_id", F.coalesce(has, F.lit(False)).alias("has"))
     ids = ids.groupBy("doc_id").agg(F.max("has").alias("has"))
     drawn = ids.withColumn("rank", F.row_number().over(each)).filter(F.col("rank") <= rows // 2).select("doc_id")
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # TRAIN_DOCS ids at most
