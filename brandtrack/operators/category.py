@@ -129,8 +129,12 @@ class FanOut:
 
     def result(self, spark: SparkSession) -> DataFrame:
         """One row: category codes, the same after the dates were joined, and how many are distinct."""
-        row = (self.before.get["n"], self.after.get["n"], self.after.get["distinct"])
-        return spark.createDataFrame([row], "category_rows bigint, dated_rows bigint, distinct_dated_rows bigint")
+        counts = {
+            "category_rows": self.before.get["n"],
+            "dated_rows": self.after.get["n"],
+            "distinct_dated_rows": self.after.get["distinct"],
+        }
+        return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
 
 
 def fan_out(category: DataFrame, dated: DataFrame) -> DataFrame:
