@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,15 @@ from ..params import PRE_LAUNCH_DAYS, YEAR_DAYS, ReportParams
 
 
 def clean_list(raw: DataFrame, min_group: int) -> DataFrame:
-    """Typed list rows without whole-row duplicates, for the groups above ``min_group``."""
+    """Typed list rows without whole-row duplicates, for the groups above ``min_group``.
+
+    Levels other than 2 and 3 are taken over where the list has a column for their codes.
+    """
+    further = [
+        to_code(F.col(name)).alias(f"hierl{found[1]}cd")
+        for name in raw.columns
+        if name not in CODE_COLUMNS and (found := FURTHER_LEVEL.fullmatch(name))
+    ]
     return (
         raw.select(
             F.col("Division").alias("division"),
@@ -25,6 +34,7 @@ def clean_list(raw: DataFrame, min_group: int) -> DataFrame:
             to_code(F.col("Hierarchy Level 2 Code")).alias("hierl2cd"),
             F.col("Date").cast("date").alias("convdate"),
             to_code(F.col("level_flag"), "int").alias("levelflag"),
+            *further,
         )
         .dropDuplicates()
         .filter(F.col("grpnum") > min_group)
@@ -39,6 +49,8 @@ CODE_COLUMNS = {
     "Hierarchy Level 2 Code": "bigint",
     "level_flag": "int",
 }
+#: Columns of the delivered list that hold the codes of other levels.
+FURTHER_LEVEL = re.compile("Hierarchy Level ([0-9]+) Code")
 
 
 def bad_codes(raw: DataFrame) -> DataFrame:

@@ -8,11 +8,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from .operators import category, conversion, pulls
+from .operators import category, conversion, hierarchy, pulls
 from .operators.sizing import Lookup
 from .operators.star import Star, plan_star, report_items
 from .params import ReportParams
 from .plans import metrics, summary, trend
+from .sources.clustered import write_clustered
 from .sources.publish import is_published, publish, remove, shared_folder
 from .sources.tables import Tables
 from .sources.versions import VersionedTables
@@ -34,6 +35,7 @@ class BrandReport:
     #: Names of the tables a run writes.
     WRITTEN = (
         "conversion_list", "items", "loyal_lines", "loyal_orders", "loyal_weeks", "inferred_weeks", "category_upcs",
+        "hierarchy_nodes", "named_nodes", "granted_nodes",
     )
 
     def __init__(
@@ -97,8 +99,15 @@ class BrandReport:
 
     @cached_property
     def category(self) -> DataFrame:
+        if self.tables.levels:
+            return self._category_of_any_level()
         return category.category_upcs(self.conv, self.lookups["codes"], self.tables, self.params)
 
+    def _category_of_any_level(self) -> DataFrame:
+        tree = hierarchy.from_levels(self.tables.hierarchy, self.tables.levels, self.publish)
+        depths = {depth: f"hierl{depth}cd" for depth in self.tables.levels}
+        return hierarchy.category_of_any_level(self.conv, tree, depths, self.tables, self.params, self.publish)
+
     @cached_property
     def dated_category(self) -> DataFrame:
         return category.dated_category(self.category, self.lookups["dates"], self.params)
@@ -138,6 +147,16 @@ class BrandReport:
         """The report's items, written once."""
         return self.publish(report_items(self.conv, self.dated_category, self.tables, self.params), "items")
 
+    def write_orders(self, folder: str) -> dict[str, DataFrame]:
+        """The four order-level tables, written below ``folder`` to be read a group or a week at a time."""
+        made = {
+            "loyal_brand_orders": pulls.loyal_brand_orders,
+            "loyal_category_orders": pulls.loyal_category_orders,
+            "inferred_brand_orders": pulls.inferred_brand_orders,
+            "inferred_category_orders": pulls.inferred_category_orders,
+        }
+        return {name: write_clustered(pull(self.star), f"{folder}/{name}") for name, pull in made.items()}
+
     @cached_property
     def loyal_weeks(self) -> DataFrame:
         """Sums by group and week of the banner with listed codes."""

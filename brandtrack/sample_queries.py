@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 from .functions import week_ending
 from .operators import category as cat
 from .operators import conversion as conv
-from .operators import pulls
+from .operators import hierarchy, pulls
 from .plans import trend
 from .report import BrandReport
+from .sources.clustered import write_clustered
 from .sources.conversion_list import listed_rows, read_conversion_list
 from .sources.intake import Intake, take_in
 from .sources.publish import shared_folder, write_summary
@@ -121,6 +123,59 @@ def _tagged(report: BrandReport) -> DataFrame:
     return pulls.tag_series(orders, report.conv, report.params)
 
 
+# Groups of the sample list that name another level than 2 or 3.
+SAMPLE_LEVELS = {"31": "1", "32": "0"}
+SAMPLE_COLUMNS = {0: "trade_item_hier_l0_cd", 1: "trade_item_hier_l1_cd", 2: "trade_item_hier_l2_cd", 3: "trade_item_hier_l3_cd"}
+
+
+def any_level_report(spark: SparkSession, sf_dir: str, **params) -> BrandReport:
+    """The sample report with four levels: two more above level 2, each named by one group."""
+    made = sample_report(spark, sf_dir, **params)
+    level_2 = F.col(SAMPLE_COLUMNS[2]).cast("int")
+    tree = made.tables.hierarchy.withColumns(
+        {SAMPLE_COLUMNS[1]: F.floor((level_2 - 100) / 2 + 10).cast("string"), SAMPLE_COLUMNS[0]: F.lit("1")}
+    )
+    level = F.col("level_flag")
+    for group, named in SAMPLE_LEVELS.items():
+        level = F.when(F.col("Group Number") == group, named).otherwise(level)
+    raw = made.raw_list.withColumns(
+        {
+            "level_flag": level,
+            "Hierarchy Level 1 Code": F.floor((F.col("Hierarchy Level 2 Code").cast("int") - 100) / 2 + 10).cast("string"),
+            "Hierarchy Level 0 Code": F.lit("1"),
+        }
+    )
+    tables = replace(made.tables, hierarchy=tree, levels=SAMPLE_COLUMNS)
+    return BrandReport(tables, raw, made.params)
+
+
+def _any_level(build: Callable[[BrandReport], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _with_doubles(build(any_level_report(spark, sf_dir)))
+
+
+def _closure(report: BrandReport) -> DataFrame:
+    """The codes of all places with those of the places above them."""
+    tree = hierarchy.from_levels(report.tables.hierarchy, report.tables.levels, report.publish)
+    above = hierarchy.places_above(tree, report.publish, report.params)
+    tops = tree.places.select(
+        F.col("node").alias("above"), F.col("depth").alias("above_depth"), F.col("code").alias("above_code")
+    )
+    named = above.join(tree.places, "node").join(tops, "above")
+    return named.select("depth", "code", "above_depth", "above_code").distinct()
+
+
+def _orders_of_one(table: str) -> Callable[[BrandReport], DataFrame]:
+    """One group's rows of some weeks, from an order-level table that is written for such reads."""
+
+    def build(report: BrandReport) -> DataFrame:
+        pull = {"loyal": pulls.loyal_brand_orders, "inferred": pulls.inferred_category_orders}[table]
+        written = write_clustered(pull(report.star), f"{report.folder}/{table}_orders")
+        weeks = F.col("week_end").between(F.lit("2001-03-03").cast("date"), F.lit("2001-03-31").cast("date"))
+        return written.filter((F.col("grpnum") == 29) & weeks)
+
+    return build
+
+
 def queries() -> dict[str, Query]:
     return {
         # the conversion list
@@ -150,6 +205,9 @@ def queries() -> dict[str, Query]:
         "conv_hier_codes": _query(lambda r: cat.listed_codes(r.conv)),
         "upc_cat_all": _query(lambda r: r.category),
         "upc_cat_dated": _query(lambda r: r.dated_category),
+        "hier_closure": _any_level(_closure),
+        "cat_upc_any_level": _any_level(lambda r: r.category),
+        "upc_cat_dated_any_level": _any_level(lambda r: r.dated_category),
         "cat_groups": _query(lambda r: cat.category_groups(r.category)),
         "dq_dup_upc_in_group": _query(lambda r: cat.repeated_codes(r.category)),
         "dq_fanout": _query(_fan_out),
@@ -165,6 +223,8 @@ def queries() -> dict[str, Query]:
         "prfg_upc_week": _query(lambda r: r.inferred_brand_weekly()[1]),
         "prfg_cat_order_week": _query(lambda r: pulls.inferred_category_orders(r.star)),
         "prfg_cat_week": _query(lambda r: r.inferred_brand_weekly()[0]),
+        "sr_orders_of_group": _query(_orders_of_one("loyal")),
+        "prfg_orders_of_group": _query(_orders_of_one("inferred")),
         "weekly_incremental": _incremental(lambda r: r.loyal_banner_weekly()[1]),
         "prfg_incremental": _incremental(lambda r: r.inferred_brand_weekly()[1]),
         "metrics_incremental": _incremental(lambda r: r.banner_metrics()),

@@ -38,6 +38,8 @@ class Tables:
     header ``ord_date_key`` only if it is the date key of all the order's lines: it is then cut to the report's
     days at its scan. ``bucketed_by_order`` tells that ``loyal_fact`` and ``order_loyalty`` are stored in the same
     number of buckets of the order key, as ``sources.bucketed`` writes them: their join then shuffles neither.
+    ``levels`` names the hierarchy's column of each level where groups may ask for other levels than 2 and 3; the list
+    then needs a column ``Hierarchy Level <n> Code`` for each.
     """
 
     loyal_fact: DataFrame
@@ -50,6 +52,7 @@ class Tables:
     order_loyalty: DataFrame | None = None
     customer_loyalty: DataFrame | None = None
     bucketed_by_order: bool = False
+    levels: dict[int, str] | None = None
 
     def __post_init__(self) -> None:
         wanted = {"loyal_fact": FACT_COLUMNS, "fact": FACT_COLUMNS, **DIMENSION_COLUMNS}
@@ -57,6 +60,9 @@ class Tables:
             missing = [c for c in columns if c not in getattr(self, name).columns]
             if missing:
                 raise ValueError(f"{name} lacks the columns {', '.join(missing)}")
+        missing = [c for c in (self.levels or {}).values() if c not in self.hierarchy.columns]
+        if missing:
+            raise ValueError(f"hierarchy lacks the columns {', '.join(missing)}")
         holder = self.loyal_fact if self.order_loyalty is None else self.order_loyalty
         if self.customer_loyalty is not None:
             holder = self.customer_loyalty
