@@ -48,6 +48,24 @@ from rules
 """
 
 
+_CASES = ", ".join(
+    f"({version}, '{rule.name}', {quality_rules.mask(names)}, {1 << rule.bit})"
+    for version, names in quality_rules.POLICIES.items()
+    for rule in quality_rules.RULES
+    if rule.name in names
+)
+ABLATIONS = f"""
+select policy, rule, count(*) filter (bits & one <> 0) as n_failed,
+    count(*) filter (bits & mask = one) as n_failed_alone,
+    count(*) filter (bits & (mask - one) = 0) as n_kept_without,
+    bit_and(bits) filter (bits & one <> 0) as all_failed_bits
+from (select failure_bits as bits from ({OP3})),
+    (select policy, rule, cast(mask as bigint) as mask, cast(one as bigint) as one
+     from (values {_CASES}) as cases(policy, rule, mask, one))
+group by policy, rule
+"""
+
+
 def _weight(mix: mixing.Mix, path: tuple[str, ...]) -> str:
     cases = [
         "when " + " and ".join(f"{level} = '{name}'" for level, name in zip(path, key)) + f" then {w}"
@@ -360,4 +378,5 @@ CHECK_SQL = {
     "op11_hard_negatives": OP11,
     "op12_line_dedup": OP12,
     "op13_prefix_trie": OP13,
+    "quality_ablations": ABLATIONS,
 }

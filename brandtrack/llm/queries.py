@@ -46,6 +46,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy rejects, alone and with others, from one ledger of all documents."""
+    return quality_rules.ablations(quality_rules.ledger(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
@@ -103,6 +108,7 @@ def queries() -> dict[str, Query]:
         "op11_hard_negatives": op11_hard_negatives,
         "op12_line_dedup": op12_line_dedup,
         "op13_prefix_trie": op13_prefix_trie,
+        "quality_ablations": quality_ablations,
     }
 
 

@@ -30,6 +30,6 @@ def test_other_queries_have_a_row_for_every_document_or_page(spark, name):
 def test_native_operators_run_no_python(spark):
     from star_data import plan_of
 
-    for name in ("op3_quality_rules", "op4_mix_sources", "op8_chat_format", "op9_shards"):
+    for name in ("op3_quality_rules", "quality_ablations", "op4_mix_sources", "op8_chat_format", "op9_shards"):
         plan = plan_of(q.queries()[name](spark, SF))
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct"))
