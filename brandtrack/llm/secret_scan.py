@@ -31,7 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .token_counts import blocks
@@ -395,8 +395,12 @@ def _expected(field: Field, emission: np.ndarray, real: np.ndarray, ends: np.nda
 
 
 def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field | None:
-    """A field from the documents whose ids hash lowest, of those with and of those without a value of the fixed patterns
-    half each; only features of windows come to the driver."""
+    """A field from ``rows`` documents at most, of those with and of those without a value of the fixed patterns half each.
+
+    Ids of each kind are dealt into slots by a hash, and of each slot the id of the lowest other hash is drawn: so a single
+    document with a value is drawn for certain, and a task keeps one id a slot, however many rows it reads. Only features
+    of windows come to the driver.
+    """
 
     @F.pandas_udf("array<binary>")
     def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -408,13 +412,12 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Field | None:
                 found.append([np.c_[x, tags].astype(np.int16).tobytes() for x, tags in cut])
             yield pd.Series(found, index=batch.index, dtype=object)
 
-    each = Window.partitionBy("has").orderBy(F.xxhash64("doc_id"), "doc_id")
     text = F.col("text")
     named = reduce(Column.__or__, [F.lower(text).contains(name) for name in NAMED])
     has = (named & text.rlike(ASSIGNED)) | (text.contains("AKIA") & text.rlike("AKIA[A-Z0-9]{12}")) | text.rlike("[0-9a-f]{32}")
-    ids = docs.filter("doc_id is not null").select("doc_id", F.coalesce(has, F.lit(False)).alias("has"))
-    ids = ids.groupBy("doc_id").agg(F.max("has").alias("has"))
-    drawn = ids.withColumn("rank", F.row_number().over(each)).filter(F.col("rank") <= rows // 2).select("doc_id")
+    slot = F.pmod(F.xxhash64("doc_id", F.lit(0)), F.lit(rows // 2))
+    ids = docs.filter("doc_id is not null").select("doc_id", F.coalesce(has, F.lit(False)).alias("has"), slot.alias("slot"))
+    drawn = ids.groupBy("has", "slot").agg(F.min_by("doc_id", F.xxhash64("doc_id")).alias("doc_id")).select("doc_id").distinct()
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # TRAIN_DOCS ids at most
     one = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     sample = sorted(one.select("doc_id", windows("text").alias("w")).collect(), key=lambda row: row["doc_id"])
