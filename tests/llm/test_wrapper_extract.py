@@ -265,3 +265,65 @@ def test_short_pages_leave_the_slot_of_the_others_alone(spark):
     _, got = _by_host(spark, [(i, "http://one.org/", text) for i, (text, _) in enumerate(made + plain)])
     for i, (_, wanted) in enumerate(made + plain):
         assert got[i] == wanted, i
+
+
+def test_long_lists_are_aligned_in_full():
+    """More than half a million pairs of children, against the table of all of them."""
+    rng = random.Random(12)
+    lists = [[(rng.choice(["div", "section"]), rng.randrange(9)) for _ in range(n)] for n in (800, 760)]
+    a, b = (parse("<body>" + "".join(f"<{tag}>{'<p></p>' * n}</{tag}>" for tag, n in items) + "</body>") for items in lists)
+    last = [0] * (len(lists[1]) + 1)
+    for tag, n in lists[0]:
+        row = [0]
+        for j, (other, k) in enumerate(lists[1]):
+            row.append(max(last[j] + (1 + min(n, k) if tag == other else 0), last[j + 1], row[j]))
+        last = row
+    pairs = we.match(a, b)
+    assert len(pairs) == 2 + last[-1]  # the pages and their bodies too
+    assert all(x.label == y.label for x, y in pairs)
+
+
+def test_a_template_in_the_midst_of_a_long_page_is_found():
+    menu = "<div><ul>" + "".join(f"<li>Part {k}</li>" for k in range(60)) + "</ul></div>"
+    pages, texts = [], []
+    for i in range(5):
+        rng = random.Random(i)
+        words = [[f"w{i}x{k}x{n}" for n in range(rng.randrange(1, 4))] for k in range(900 + i)]
+        items = ["<div>" + "".join(f"<p>{word}</p>" for word in some) + "</div>" for some in words]
+        pages.append("<body>" + "".join([*items[: 450 + 2 * i], menu, *items[450 + 2 * i :]]) + "</body>")
+        texts.append("\n".join(word for some in words for word in some))
+    wrapper = we.induce(pages)
+    assert [we.extract(page, wrapper) for page in pages] == texts
+
+
+def test_rows_of_comparisons_give_what_single_ones_give(monkeypatch):
+    rng = random.Random(4)
+
+    def build(depth, most, tags):
+        inner = "".join(build(depth - 1, max(2, most // 2), tags) for _ in range(rng.randrange(most + 1))) if depth else ""
+        tag = rng.choice(tags)
+        return f"<{tag}>{inner}</{tag}>"
+
+    for k in range(150):
+        tags = [["div"], ["div", "section"], "div section ul ol article main aside nav form table".split()][k % 3]
+        depth, most = [(1, 40), (2, 12), (4, 4), (5, 3), (2, 30)][k % 5]
+        a, b = (parse(f"<body>{build(depth, most, tags)}{build(depth, most, tags)}</body>") for _ in range(2))
+        monkeypatch.setattr(we, "WIDE", 1 << 60)
+        wanted = [(id(x), id(y)) for x, y in we.match(a, b, 1 << 60)]
+        for wide, cells, slack, kept in ((0, 1 << 60, 1, 1 << 26), (0, 0, 4, 0), (1000, 0, 1, 64), (9, 50, 256, 1 << 26)):
+            monkeypatch.setattr(we, "WIDE", wide)
+            monkeypatch.setattr(we, "SLACK", slack)
+            monkeypatch.setattr(we, "ROW_BYTES", kept)
+            assert [(id(x), id(y)) for x, y in we.match(a, b, cells)] == wanted
+
+
+def test_long_unlike_lists_take_bounded_time_and_memory():
+    rng = random.Random(6)
+    make = lambda: "<body>" + "".join(f"<div>{'<p></p>' * rng.randrange(40)}</div>" for _ in range(6_000)) + "</body>"
+    spine = lambda: "".join("<div>" + "<p></p>" * rng.randrange(3) + "<div><p></p></div>" * rng.randrange(3) for _ in range(10_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    began = time.process_time()
+    for build in (make, spine):
+        assert we.match(parse(build()), parse(build()))
+    assert time.process_time() - began < 60
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20  # KB
